@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.operators.profiling import as_double
+from spanledger.operators.profiling import with_numbers
 
 
 def kmeans_distances(
@@ -27,7 +27,7 @@ def kmeans_distances(
     Features are brought to unit variance first unless ``standardize`` is off.
     Only the k centres come to the driver; distances are column arithmetic.
     """
-    numbers = df.select(*carry, *[as_double(c).alias(c) for c in columns]).dropna(subset=list(columns))
+    numbers = with_numbers(df, columns, carry).dropna(subset=list(columns))
     inputs = [f"_f{i}" for i in range(len(columns))]
     if standardize:
         moments = numbers.agg(*[f(c).alias(f"{f.__name__}_{i}") for i, c in enumerate(columns)

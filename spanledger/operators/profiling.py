@@ -20,9 +20,22 @@ def _ref(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def as_double(name: str) -> Column:
-    """Numeric reading of any column; NULL where the text is no number."""
-    return _ref(name).try_cast("double")
+# Text that a cast to double accepts. A failing cast costs an exception inside
+# the JVM, so text that cannot succeed is turned to NULL by this cheap test first.
+_NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?|(?i:nan|inf|infinity))\s*$"
+
+
+def as_double(df: DataFrame, name: str) -> Column:
+    """Numeric reading of a column; NULL where text is no number."""
+    value = _ref(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return F.when(value.rlike(_NUMBER_TEXT), value.try_cast("double"))
+    return value.try_cast("double")
+
+
+def with_numbers(df: DataFrame, columns: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """The columns read as numbers once, so that several aggregates share the work."""
+    return df.select(*[_ref(c) for c in carry], *[as_double(df, c).alias(c) for c in columns])
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -45,20 +58,23 @@ def profile_columns(
     stats: bool = False,
     distinct: str = "exact",
     quantiles: str = "approx",
-    chunk: int | None = None,
+    chunk: int | None = 4,
 ) -> DataFrame:
     """One row per column: type, counts, extremes and, with ``stats``, moments.
 
-    All columns are profiled by one aggregate over one scan. Exact distinct
-    counts shuffle the distinct values of every column; ``distinct="approx"``
-    keeps a fixed-size sketch per column instead and shuffles nothing else.
-    ``chunk`` limits how many columns share an aggregate on very wide tables.
-    Quartiles come from a sketch (rank error 1/10,000) or, with
+    Exact distinct counts make Spark repeat each row once per column of an
+    aggregate, with all of its columns in the key. So only ``chunk`` columns share
+    one: on a columnar table each chunk reads its own columns only, and the
+    repeated rows stay narrow. ``chunk=None`` reads a costly derived input just
+    once. ``distinct="approx"`` keeps a fixed-size sketch per column, shuffles
+    next to nothing and always takes a single pass. Quartiles come from a sketch (rank error 1/10,000) or, with
     ``quantiles="exact"``, from :func:`exact_quantiles`.
     """
     if distinct not in ("exact", "approx") or quantiles not in ("exact", "approx"):
         raise ValueError("distinct and quantiles must be 'exact' or 'approx'")
     names = list(columns or df.columns)
+    if distinct == "approx":
+        chunk = None
     parts = [_profile_chunk(df, c, stats, distinct, quantiles) for c in _column_chunks(names, chunk)]
     out = parts[0]
     for p in parts[1:]:
@@ -72,13 +88,16 @@ def profile_columns(
 
 def _profile_chunk(df: DataFrame, names: list[str], stats: bool, distinct: str, quantiles: str) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
-    castable = set(_castable_columns(df))
+    castable = [c for c in names if c in _castable_columns(df)] if stats else []
+    numbers = {c: f"_number_{i}" for i, c in enumerate(castable)}
+    if numbers:
+        df = df.select(*[_ref(c) for c in names], *[as_double(df, c).alias(n) for c, n in numbers.items()])
     count_values = F.count_distinct if distinct == "exact" else F.approx_count_distinct
     no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
     aggregates: list[Column] = [F.count("*").alias("total")]
     rows: list[Column] = []
     for i, name in enumerate(names):
-        value, number = _ref(name), as_double(name) if name in castable else None
+        value, number = _ref(name), numbers.get(name)
         aggregates += [count_values(value).alias(f"d{i}"), F.count(value).alias(f"v{i}")]
         cells = [
             F.lit(name).alias("column_name"),
@@ -111,7 +130,7 @@ def _profile_chunk(df: DataFrame, names: list[str], stats: bool, distinct: str,
 
 
 def _long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), as_double(c).alias("value")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), as_double(df, c).alias("value")) for c in columns])
     return df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
 
 
@@ -167,8 +186,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
 def sketch_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """The same shape from one scan with a bounded sketch per column."""
     probs = [float(p) for p in probabilities]
-    sketches = df.agg(*[
-        F.percentile_approx(as_double(c), probs, SKETCH_ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)])
+    sketches = with_numbers(df, columns).agg(*[
+        F.percentile_approx(_ref(c), probs, SKETCH_ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)])
     rows = [
         F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("probability"), F.col(f"q{i}")[j].alias("value"))
         for i, c in enumerate(columns) for j, p in enumerate(probs)
@@ -215,9 +234,10 @@ def iqr_outliers(
         return (value < low) | (value > high)
 
     limits = {c: (bounds[c]["lower_bound"], bounds[c]["upper_bound"]) for c in columns}
-    with_any = df.filter(any_of([outside(as_double(c), *limits[c]) for c in columns]))
+    numbers = with_numbers(df, columns, carry)
+    with_any = numbers.filter(any_of([outside(_ref(c), *limits[c]) for c in columns]))
     cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), as_double(c).alias("value"),
+        F.struct(F.lit(c).alias("column_name"), _ref(c).alias("value"),
                  limits[c][0].alias("lower_bound"), limits[c][1].alias("upper_bound"))
         for c in columns
     ])
@@ -228,7 +248,7 @@ def iqr_outliers(
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of each column pair over rows where both are present."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    scores = df.agg(*[F.corr(as_double(a), as_double(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    scores = with_numbers(df, columns).agg(*[F.corr(_ref(a), _ref(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     rows = [
         F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(f"c{i}").alias("correlation_score"))
         for i, (a, b) in enumerate(pairs)
@@ -236,14 +256,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return scores.select(F.inline(F.array(*rows)))
 
 
-def _log_plus_one(name: str) -> Column:
+def _log_plus_one(number: Column) -> Column:
     """ln(x + 1), NULL where x <= -1."""
-    return F.ln(as_double(name) + 1)
+    return F.ln(number + 1)
 
 
 def log_transform(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Row-level ``<column>_log`` values next to the given columns."""
-    return df.withColumns({f"{c}_log": _log_plus_one(c) for c in columns})
+    return df.withColumns({f"{c}_log": _log_plus_one(as_double(df, c)) for c in columns})
 
 
 def skewness_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -251,8 +271,8 @@ def skewness_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggregates: list[Column] = [F.count("*").alias("total_records")]
     rows: list[Column] = []
     for i, c in enumerate(columns):
-        aggregates += [F.skewness(as_double(c)).alias(f"x{i}"), F.skewness(_log_plus_one(c)).alias(f"l{i}")]
+        aggregates += [F.skewness(_ref(c)).alias(f"x{i}"), F.skewness(_log_plus_one(_ref(c))).alias(f"l{i}")]
         rows.append(F.struct(
             F.lit(c).alias("column_name"), F.col("total_records"), F.col(f"x{i}").alias("skewness"),
             F.col(f"l{i}").alias("log_skewness")))
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return with_numbers(df, columns).agg(*aggregates).select(F.inline(F.array(*rows)))

@@ -14,7 +14,7 @@ from spanledger.operators.anomalies import kmeans_anomalies
 from spanledger.plans import batch, contract_load
 from spanledger.schemas import CONTRACT_COLUMNS, CONTRACT_KEY, CONTROL_LOG, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 from spanledger.sources import ddl, readers, writers
-from spanledger.sources.scratch import fresh_path
+from spanledger.sources.scratch import durable, fresh_path
 from spanledger.streaming.flatten_stream import flatten_stream, read_record_stream
 from spanledger.workloads import views
 from spanledger.workloads.views import RUN_DATE, RUN_TS
@@ -103,10 +103,17 @@ def contract_keys(spark, sf_dir):
 
 # --- version history ----------------------------------------------------------------
 
+def _first_load(spark, sf_dir):
+    """Id map and version table after day one, held as tables like in a warehouse."""
+    staged = views.stored_timeline(spark, sf_dir)
+    id_map = durable(identifiers.assign_ids(staged), "id-map")
+    return id_map, durable(scd2.initial_load(staged, id_map), "final")
+
+
 def _load(spark, sf_dir, preset):
-    id_map = views.first_map(spark, sf_dir)
-    final = scd2.initial_load(views.timeline(spark, sf_dir), id_map)
-    return contract_load.daily_load(views.day2(spark, sf_dir), id_map, final, RUN_DATE, preset).final
+    id_map, final = _first_load(spark, sf_dir)
+    staged = durable(views.day2(spark, sf_dir), "staged")
+    return contract_load.daily_load(staged, id_map, final, RUN_DATE, preset).final
 
 
 @query
@@ -132,16 +139,16 @@ def scd2_dbt_v1(spark, sf_dir):
 @query
 def scd2_dbt_final(spark, sf_dir):
     """The feed arrives in fragments and is consolidated before the load."""
-    id_map = views.first_map(spark, sf_dir)
-    final = scd2.initial_load(views.timeline(spark, sf_dir), id_map)
-    fragments = views.day2_fragments(spark, sf_dir)
+    id_map, final = _first_load(spark, sf_dir)
+    fragments = durable(views.day2_fragments(spark, sf_dir), "staged")
     return contract_load.consolidate_and_load(fragments, id_map, final, RUN_DATE, RUN_TS).final
 
 
 def _dimension(spark, sf_dir, sk_from):
-    id_map = views.first_map(spark, sf_dir)
-    prior = scd2.dim_contracts(views.timeline(spark, sf_dir), id_map, RUN_DATE)
-    staged = views.day2(spark, sf_dir)
+    staged = views.stored_timeline(spark, sf_dir)
+    id_map = durable(identifiers.assign_ids(staged), "id-map")
+    prior = durable(scd2.dim_contracts(staged, id_map, RUN_DATE), "dimension")
+    staged = durable(views.day2(spark, sf_dir), "staged")
     new_map = identifiers.assign_ids(staged, id_map)
     return scd2.dim_contracts(staged, new_map, RUN_DATE, prior, sk_from)
 

@@ -10,6 +10,7 @@ from spanledger.operators.identifiers import assign_ids
 from spanledger.operators.scd2 import initial_load
 from spanledger.schemas import CONTRACT_COLUMNS, FROM_DATE, OPEN_END, TERRITORY_REFERENCE, TO_DATE
 from spanledger.sources.readers import inline_rows, read_table
+from spanledger.sources.scratch import durable
 
 RUN_DATE = "2001-12-31"
 RUN_TS = "2001-12-31 06:00:00"
@@ -115,13 +116,19 @@ def day2_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day2(spark, sf_dir).select(*attributes, F.inline(halves).alias(FROM_DATE, TO_DATE))
 
 
+def stored_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean history as a table of its own, as a warehouse would hold it."""
+    return durable(timeline(spark, sf_dir), "timeline")
+
+
 def first_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_ids(timeline(spark, sf_dir))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The version table after the first load of the clean history."""
-    return initial_load(timeline(spark, sf_dir), first_map(spark, sf_dir))
+    staged = stored_timeline(spark, sf_dir)
+    return initial_load(staged, assign_ids(staged))
 
 
 def _list_of(prefix: str, length: Column) -> Column:
