@@ -8,21 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_LOCAL_CONF = "spanledger.scratch.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local-master session without that setting gets a temporary folder; on
-    a cluster a machine-local folder would not be visible to other executors.
+    Only a local-master session without that setting gets a temporary folder, one
+    per session; on a cluster a machine-local folder would not be visible to other
+    executors.
     """
-    configured = spark.conf.get(_CONF, None)
+    configured = spark.conf.get(_CONF, None) or spark.conf.get(_LOCAL_CONF, None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CONF} to a folder all executors can reach")
     fallback = tempfile.mkdtemp(prefix="spanledger-")
-    spark.conf.set(_CONF, fallback)
+    spark.conf.set(_LOCAL_CONF, fallback)
     return fallback
 
 

@@ -1,0 +1,117 @@
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from spanledger.schemas import FLATTENED_RECORDS, IDENTIFIER_MAP, STAGED_CONTRACTS, TERRITORY_REFERENCE
+from spanledger.sources import ddl, readers, scratch, writers
+from spanledger.workloads.views import TERRITORIES, territory_reference
+
+
+@pytest.fixture
+def path(spark):
+    return scratch.fresh_path(spark, "test")
+
+
+class FakeSession:
+    """Just the settings the folder choice looks at."""
+
+    def __init__(self, master, **settings):
+        class Context:
+            pass
+
+        class Conf:
+            get = staticmethod(lambda key, default=None: settings.get(key, default))
+            set = staticmethod(settings.__setitem__)
+
+        self.conf, self.sparkContext = Conf(), Context()
+        self.sparkContext.master = master
+
+
+def test_shared_folder_is_the_configured_one():
+    session = FakeSession("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert scratch.fresh_path(session, "a").startswith("hdfs:///shared/spanledger/a-")
+
+
+def test_only_local_sessions_get_a_temporary_folder():
+    local = FakeSession("local[4]")
+    folder = scratch.shared_dir(local)
+    assert os.path.isdir(folder) and scratch.shared_dir(local) == folder
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_dir(FakeSession("spark://host:7077"))
+
+
+def test_seed(spark, path):
+    territory_reference(spark).write.option("header", True).csv(path)
+    seed = readers.read_seed(spark, path)
+    assert rows(seed) == sorted(TERRITORIES, key=str)
+    assert [f.dataType for f in seed.schema] == [f.dataType for f in TERRITORY_REFERENCE]
+
+
+def test_tables_by_name_and_path(spark, path):
+    spark.range(3).write.parquet(path)
+    writers.register_view(readers.read_table(spark, path), "three")
+    assert readers.read_table(spark, "three").count() == 3
+
+
+def test_ddl_round_trip(spark):
+    text = ddl.create_table_ddl("contracts_copy", STAGED_CONTRACTS)
+    assert text.splitlines()[1] == "    contract_id bigint NOT NULL," and text.endswith("NOT NULL\n);")
+    spark.sql(text.rstrip(";") + " USING parquet")
+    try:
+        assert spark.table("contracts_copy").schema.simpleString() == STAGED_CONTRACTS.simpleString()
+    finally:
+        spark.sql("DROP TABLE contracts_copy")
+    df = readers.inline_rows(spark, [], FLATTENED_RECORDS)
+    assert ddl.ddl_from_catalog("t", readers.column_catalog(df)).first().ddl == ddl.create_table_ddl("t", df.schema)
+    assert ddl.empty_like(df).schema == df.schema and ddl.empty_like(df).count() == 0
+
+
+def test_catalogs(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
+    assert [tuple(r) for r in readers.column_catalog(df).collect()] == [("a", "int", "YES", 1), ("b", "string", "YES", 2)]
+    assert [tuple(r)[2] for r in readers.observed_catalog(df).orderBy("ordinal_position").collect()] == ["NO", "YES"]
+
+
+def test_append_keeps_the_column_order(spark, path):
+    writers.full_refresh(spark.createDataFrame([(1, "a")], "n int, s string"), path)
+    writers.append_rows(spark.createDataFrame([("b", 2)], "s string, n int"), path, ["n", "s"])
+    assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "b")]
+
+
+def test_partitioned_layout(spark, path):
+    df = spark.range(100).select("id", (F.col("id") % 3).cast("int").alias("p"))
+    writers.append_partitioned(df, path, ["p"])
+    assert sorted(d for d in os.listdir(path) if d.startswith("p=")) == ["p=0", "p=1", "p=2"]
+    # Rows of a value sit together, so small values make one file each.
+    assert all(len([f for f in os.listdir(f"{path}/p={i}") if f.endswith(".parquet")]) == 1 for i in range(3))
+    assert spark.read.parquet(path).filter("p = 1").count() == 33
+
+
+def test_clustered_layout(spark, path, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = spark.range(1000).select((F.col("id") % 97).alias("k"), F.lit("x").alias("p0"))
+    writers.write_clustered(df, path, ["k"], {"part": F.col("p0")})
+    by_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    spans = sorted((r.lo, r.hi) for r in by_file.collect())
+    # One hot folder value over several files with disjoint key ranges.
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_snapshots_switch_last(spark, path):
+    writers.publish_snapshot(spark.range(3), path, "v1", "snap")
+    bigger = spark.table("snap").union(spark.range(10, 12))
+    writers.publish_snapshot(bigger, path, "v2", "snap")
+    assert spark.table("snap").count() == 5 and spark.read.parquet(f"{path}/version=v1").count() == 3
+    with pytest.raises(Exception):
+        writers.publish_snapshot(spark.range(9), path, "v2", "snap")
+    assert spark.table("snap").count() == 5
+
+
+def test_sample_and_conform(spark, path):
+    writers.write_sample(spark.range(500), path, 100)
+    assert spark.read.parquet(path).count() == 100
+    df = spark.createDataFrame([("1", None)], "contract_id string, territory_id long")
+    out = writers.conform(df, IDENTIFIER_MAP, {"territory_id": F.lit(7)})
+    assert tuple(out.first()) == (1, 7, None) and out.columns == IDENTIFIER_MAP.names
