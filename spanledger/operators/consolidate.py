@@ -13,7 +13,9 @@ from spanledger.functions.keys import joined_key
 from spanledger.schemas import CONTRACT_KEY, FROM_DATE, GROUPING_COLUMNS, OPEN_END, TO_DATE
 
 
-def stage_contracts(raw: DataFrame, run_ts: TimeLike, amount_type: str = "decimal(38,9)") -> DataFrame:
+def stage_contracts(
+    raw: DataFrame, run_ts: TimeLike, amount_type: str = "decimal(38,9)", open_end: str = OPEN_END
+) -> DataFrame:
     """Typed staging columns; the open end is recognised by its text form first."""
     to_text = F.col(TO_DATE).cast("string")
     return raw.select(
@@ -23,7 +25,7 @@ def stage_contracts(raw: DataFrame, run_ts: TimeLike, amount_type: str = "decima
         F.col("amount").cast(amount_type).alias("amount"),
         F.col("interest_date").cast("date").alias("interest_date"),
         F.col(FROM_DATE).cast("date").alias(FROM_DATE),
-        F.when(to_text == OPEN_END, date_lit(OPEN_END)).otherwise(F.col(TO_DATE).cast("date")).alias(TO_DATE),
+        F.when(to_text == open_end, date_lit(open_end)).otherwise(F.col(TO_DATE).cast("date")).alias(TO_DATE),
         ts_lit(run_ts).alias("loaded_at"),
     )
 

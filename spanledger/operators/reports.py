@@ -10,8 +10,8 @@ from spanledger.operators.ordering import HOT_GROUP_ROWS, lag_in_group
 from spanledger.schemas import CONTRACT_KEY, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 
 
-def active_contracts(final: DataFrame) -> DataFrame:
-    return final.filter(F.col(TO_DATE) == date_lit(OPEN_END))
+def active_contracts(final: DataFrame, open_end: str = OPEN_END) -> DataFrame:
+    return final.filter(F.col(TO_DATE) == date_lit(open_end))
 
 
 def contract_history(final: DataFrame, contract_id: int, territory_id: int) -> DataFrame:

@@ -29,6 +29,8 @@ class Scd2Rules:
     version_to: new versions end ``open`` or keep the ``staged`` end.
     new_against: an identifier is new when it has no row at all (``all``) or no
         open row (``current``) in the prior table.
+    null_safe: whether NULL and a value count as different.
+    open_end: the date that marks a row as still valid.
     """
 
     compare_cols: tuple[str, ...] = tuple(CONTRACT_ATTRIBUTES)
@@ -37,6 +39,7 @@ class Scd2Rules:
     version_to: str = "staged"
     new_against: str = "all"
     null_safe: bool = False
+    open_end: str = OPEN_END
 
 
 # What each known load style compares. ``sqlite`` and ``merge``
@@ -85,7 +88,7 @@ def scd2_apply(
     """
     rules = replace(rules or PRESETS[preset], **overrides)
     compare = list(rules.compare_cols)
-    open_end, run = date_lit(OPEN_END), date_lit(run_date)
+    open_end, run = date_lit(rules.open_end), date_lit(run_date)
     is_open = F.col(TO_DATE) == open_end
 
     summary = staged.groupBy(*CONTRACT_KEY).agg(*extremes(compare, "_s_"))
@@ -153,6 +156,7 @@ def dim_contracts(
     run_date: DateLike,
     prior: DataFrame | None = None,
     sk_from: str = "stored",
+    open_end: str = OPEN_END,
     **options,
 ) -> DataFrame:
     """The contract dimension with surrogate row key and current flag."""
@@ -161,8 +165,8 @@ def dim_contracts(
     if prior is None:
         rows = initial_load(staged, id_map).withColumn("contract_sk", contract_sk())
     else:
-        rows = scd2_apply(prior, staged, id_map, run_date, sk_from=sk_from, **options)
-    is_current = F.coalesce(F.col(TO_DATE) == date_lit(OPEN_END), F.lit(False))
+        rows = scd2_apply(prior, staged, id_map, run_date, sk_from=sk_from, open_end=open_end, **options)
+    is_current = F.coalesce(F.col(TO_DATE) == date_lit(open_end), F.lit(False))
     return rows.withColumn("is_current", is_current).select(*DIM_COLUMNS)
 
 

@@ -319,6 +319,7 @@ SELECT event_id, event_type, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS BIG
 ORACLES["flatten_json"] = shaped(
     RECORDS, f"SELECT *, 'b1' AS batch_id, TIMESTAMP '2024-01-02 00:00:00' AS processed_at FROM ({FLAT.format(records='records')})",
     "updated_at partition_date processed_at")
+ORACLES["conform_records"] = ORACLES["flatten_json"]
 ORACLES["flatten_json_deduplicated"] = shaped(RECORDS + """,
 newest AS (
   SELECT * REPLACE (updated_at + CASE WHEN product_name IS NULL THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END
@@ -403,6 +404,16 @@ WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS
 SELECT event_id, 'value' AS column_name, round(value, 4) AS value, round(a - 1.5 * (b - a), 4) AS lower_bound,
        round(b + 1.5 * (b - a), 4) AS upper_bound
 FROM events, q WHERE value < a - 1.5 * (b - a) OR value > b + 1.5 * (b - a)"""
+ORACLES["quantile_sketch_ranks"] = f"""
+SELECT column_name, CAST(probability AS DOUBLE) AS probability, count(*) >= 0 AS within_bound
+FROM lineitem, (VALUES {", ".join(f"('{c}')" for c in MEASURES)}) c(column_name),
+     (VALUES (0.1), (0.25), (0.5), (0.75), (0.9)) p(probability)
+GROUP BY ALL"""
+ORACLES["data_profiling_outliers"] = """
+WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS a, quantile_cont(o_totalprice, 0.75) AS b FROM orders)
+SELECT o_orderkey, 'o_totalprice' AS column_name, round(o_totalprice, 4) AS value,
+       round(a - 1.5 * (b - a), 4) AS lower_bound, round(b + 1.5 * (b - a), 4) AS upper_bound
+FROM orders, q WHERE o_totalprice < a - 1.5 * (b - a) OR o_totalprice > b + 1.5 * (b - a)"""
 ORACLES["correlation_matrix"] = "\nUNION ALL\n".join(
     f"SELECT '{a}' AS col1, '{b}' AS col2, round(corr({a}, {b}), 6) AS correlation_score FROM lineitem"
     for i, a in enumerate(MEASURES) for b in MEASURES[i + 1:])

@@ -12,7 +12,8 @@ from spanledger.functions import dates, keys
 from spanledger.operators import consolidate, flatten, identifiers, incremental, marts, profiling, quality, reports, scd2
 from spanledger.operators.anomalies import kmeans_anomalies
 from spanledger.plans import batch, contract_load
-from spanledger.schemas import CONTRACT_COLUMNS, CONTRACT_KEY, CONTROL_LOG, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
+from spanledger.plans.profiling_run import data_profiling
+from spanledger.schemas import CONTRACT_COLUMNS, CONTRACT_KEY, CONTROL_LOG, FLATTENED_RECORDS, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 from spanledger.sources import ddl, readers, writers
 from spanledger.sources.scratch import durable, fresh_path
 from spanledger.streaming.flatten_stream import flatten_stream, read_record_stream
@@ -84,7 +85,8 @@ def assign_ids_initial(spark, sf_dir):
 
 @query
 def assign_ids_incremental(spark, sf_dir):
-    return identifiers.assign_ids(views.day2(spark, sf_dir), views.first_map(spark, sf_dir))
+    staged = views.stored_timeline(spark, sf_dir)
+    return identifiers.assign_ids(views.day2(spark, sf_dir, staged), identifiers.assign_ids(staged))
 
 
 @query
@@ -104,15 +106,15 @@ def contract_keys(spark, sf_dir):
 # --- version history ----------------------------------------------------------------
 
 def _first_load(spark, sf_dir):
-    """Id map and version table after day one, held as tables like in a warehouse."""
+    """Staging, id map and version table after day one, held as tables."""
     staged = views.stored_timeline(spark, sf_dir)
-    id_map = durable(identifiers.assign_ids(staged), "id-map")
-    return id_map, durable(scd2.initial_load(staged, id_map), "final")
+    id_map = identifiers.assign_ids(staged)
+    return staged, id_map, durable(scd2.initial_load(staged, id_map), "final")
 
 
 def _load(spark, sf_dir, preset):
-    id_map, final = _first_load(spark, sf_dir)
-    staged = durable(views.day2(spark, sf_dir), "staged")
+    day1, id_map, final = _first_load(spark, sf_dir)
+    staged = durable(views.day2(spark, sf_dir, day1), "staged")
     return contract_load.daily_load(staged, id_map, final, RUN_DATE, preset).final
 
 
@@ -139,16 +141,16 @@ def scd2_dbt_v1(spark, sf_dir):
 @query
 def scd2_dbt_final(spark, sf_dir):
     """The feed arrives in fragments and is consolidated before the load."""
-    id_map, final = _first_load(spark, sf_dir)
-    fragments = durable(views.day2_fragments(spark, sf_dir), "staged")
+    day1, id_map, final = _first_load(spark, sf_dir)
+    fragments = durable(views.day2_fragments(spark, sf_dir, day1), "staged")
     return contract_load.consolidate_and_load(fragments, id_map, final, RUN_DATE, RUN_TS).final
 
 
 def _dimension(spark, sf_dir, sk_from):
-    staged = views.stored_timeline(spark, sf_dir)
-    id_map = durable(identifiers.assign_ids(staged), "id-map")
-    prior = durable(scd2.dim_contracts(staged, id_map, RUN_DATE), "dimension")
-    staged = durable(views.day2(spark, sf_dir), "staged")
+    day1 = views.stored_timeline(spark, sf_dir)
+    id_map = identifiers.assign_ids(day1)
+    prior = durable(scd2.dim_contracts(day1, id_map, RUN_DATE), "dimension")
+    staged = durable(views.day2(spark, sf_dir, day1), "staged")
     new_map = identifiers.assign_ids(staged, id_map)
     return scd2.dim_contracts(staged, new_map, RUN_DATE, prior, sk_from)
 
@@ -323,6 +325,14 @@ def flatten_json(spark, sf_dir):
         views.json_records(spark, sf_dir), batch_id="b1", processed_at=RECORD_RUN_TS)
 
 
+@query
+def conform_records(spark, sf_dir):
+    """Flattened rows in the declared target layout, load columns from defaults."""
+    flat = flatten.flatten_json(views.json_records(spark, sf_dir))
+    defaults = {"batch_id": F.lit("b1"), "processed_at": dates.ts_lit(RECORD_RUN_TS)}
+    return writers.conform(flat, FLATTENED_RECORDS, defaults)
+
+
 @query
 def flatten_json_deduplicated(spark, sf_dir):
     """Daily form: extract, keep the newest copy of each record, flatten."""
@@ -441,6 +451,34 @@ def iqr_outliers(spark, sf_dir):
     return _rounded(profiling.iqr_outliers(events, ["value"], carry=["event_id"], quantiles="exact"))
 
 
+@query
+def quantile_sketch_ranks(spark, sf_dir):
+    """Whether each sketched quantile lies within the promised rank error."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    probabilities = (0.1, 0.25, 0.5, 0.75, 0.9)
+    sketched = profiling.sketch_quantiles(lineitem, MEASURES, probabilities)
+    name = F.concat_ws("|", "column_name", F.col("probability").cast("string"))
+    values = sketched.agg(F.map_from_entries(F.collect_list(F.struct(name, "value"))).alias("m")).scalar()
+    marks = [(c, p, values[f"{c}|{p}"]) for c in MEASURES for p in probabilities]
+    counts = lineitem.agg(F.count("*").alias("n"), *[
+        f.alias(f"{side}{i}") for i, (c, _, v) in enumerate(marks)
+        for side, f in (("below", F.count_if(F.col(c) < v)), ("upto", F.count_if(F.col(c) <= v)))])
+    slack = F.col("n") / profiling.SKETCH_ACCURACY + 1
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("probability"),
+                 ((F.col(f"below{i}") <= p * F.col("n") + slack) & (F.col(f"upto{i}") >= p * F.col("n") - slack))
+                 .alias("within_bound"))
+        for i, (c, p, _) in enumerate(marks)])))
+
+
+@query
+def data_profiling_outliers(spark, sf_dir):
+    """The outlier part of a complete table profile."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return _rounded(data_profiling(
+        orders, ["o_totalprice"], quantiles="exact", carry=["o_orderkey"])["outliers"])
+
+
 @query
 def correlation_matrix(spark, sf_dir):
     return _rounded(profiling.correlation_matrix(_table(spark, sf_dir, "lineitem"), MEASURES), 6)

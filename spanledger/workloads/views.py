@@ -75,17 +75,18 @@ def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def day2(spark: SparkSession, sf_dir: str) -> DataFrame:
+def day2(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
     """The next feed: open versions with some attributes changed, and new contracts.
 
     Customers of the FURNITURE segment do not report on that day; suppliers come
-    in as new contracts.
+    in as new contracts. ``history`` is the timeline where it is already stored.
     """
     key = F.col("contract_id")
     reporting = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") != "FURNITURE").select(
         F.col("c_custkey").alias("contract_id"))
     is_open = F.col(TO_DATE) == date_lit(OPEN_END)
-    known = timeline(spark, sf_dir).filter(is_open).join(reporting, "contract_id", "left_semi").select(
+    history = timeline(spark, sf_dir) if history is None else history
+    known = history.filter(is_open).join(reporting, "contract_id", "left_semi").select(
         "contract_id", "territory_id", "external_contract_id",
         F.when(key % 5 == 0, F.col("amount") + 50).otherwise(F.col("amount")).cast("decimal(12,2)").alias("amount"),
         "interest_date",
@@ -105,7 +106,7 @@ def day2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.unionByName(new)
 
 
-def day2_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def day2_fragments(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
     """The same feed with every range cut into two that abut."""
     cut = F.date_add(FROM_DATE, 10)
     halves = F.array(
@@ -113,7 +114,7 @@ def day2_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.date_add(cut, 1).alias("f"), F.col(TO_DATE).alias("t")),
     )
     attributes = [c for c in CONTRACT_COLUMNS if c not in (FROM_DATE, TO_DATE)]
-    return day2(spark, sf_dir).select(*attributes, F.inline(halves).alias(FROM_DATE, TO_DATE))
+    return day2(spark, sf_dir, history).select(*attributes, F.inline(halves).alias(FROM_DATE, TO_DATE))
 
 
 def stored_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
