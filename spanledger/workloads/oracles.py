@@ -410,10 +410,11 @@ FROM lineitem, (VALUES {", ".join(f"('{c}')" for c in MEASURES)}) c(column_name)
      (VALUES (0.1), (0.25), (0.5), (0.75), (0.9)) p(probability)
 GROUP BY ALL"""
 ORACLES["data_profiling_outliers"] = """
-WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS a, quantile_cont(o_totalprice, 0.75) AS b FROM orders)
-SELECT o_orderkey, 'o_totalprice' AS column_name, round(o_totalprice, 4) AS value,
+WITH u AS (SELECT l_orderkey, l_linenumber, l_extendedprice / l_quantity AS unit_price FROM lineitem),
+     q AS (SELECT quantile_cont(unit_price, 0.25) AS a, quantile_cont(unit_price, 0.75) AS b FROM u)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, 'unit_price' AS column_name, unit_price AS value,
        round(a - 1.5 * (b - a), 4) AS lower_bound, round(b + 1.5 * (b - a), 4) AS upper_bound
-FROM orders, q WHERE o_totalprice < a - 1.5 * (b - a) OR o_totalprice > b + 1.5 * (b - a)"""
+FROM u, q WHERE unit_price < a - 1.5 * (b - a) OR unit_price > b + 1.5 * (b - a)"""
 ORACLES["correlation_matrix"] = "\nUNION ALL\n".join(
     f"SELECT '{a}' AS col1, '{b}' AS col2, round(corr({a}, {b}), 6) AS correlation_score FROM lineitem"
     for i, a in enumerate(MEASURES) for b in MEASURES[i + 1:])

@@ -474,9 +474,10 @@ def quantile_sketch_ranks(spark, sf_dir):
 @query
 def data_profiling_outliers(spark, sf_dir):
     """The outlier part of a complete table profile."""
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return _rounded(data_profiling(
-        orders, ["o_totalprice"], quantiles="exact", carry=["o_orderkey"])["outliers"])
+    prices = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
+    found = data_profiling(prices, ["unit_price"], quantiles="exact", carry=["l_orderkey", "l_linenumber"])["outliers"]
+    return found.withColumns({c: F.round(c, 4) for c in ("lower_bound", "upper_bound")})
 
 
 @query
