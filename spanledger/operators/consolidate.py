@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from spanledger.functions.compare import all_of
 from spanledger.functions.dates import TimeLike, date_lit, ts_lit
 from spanledger.functions.keys import joined_key
+from spanledger.operators.ordering import hot_keys, same_key
 from spanledger.schemas import CONTRACT_KEY, FROM_DATE, GROUPING_COLUMNS, OPEN_END, TO_DATE
+from spanledger.sources.scratch import durable
+
+
+# Groups up to this many rows are gathered whole; each range looks through it once.
+SMALL_GROUP_ROWS = 100
+# Most keys of larger groups that are handed to all executors to split the rows by.
+LISTED_GROUPS = 100_000
 
 
 def stage_contracts(
@@ -37,6 +45,7 @@ def consolidate_ranges(
     to_col: str = TO_DATE,
     open_end: str = OPEN_END,
     mode: str = "all_or_nothing",
+    small_group_rows: int = SMALL_GROUP_ROWS,
 ) -> DataFrame:
     """Merge closed day ranges of rows that agree on ``keys``.
 
@@ -48,16 +57,56 @@ def consolidate_ranges(
 
     ``islands``: every maximal gap-free run becomes one row;
     ``original_record_count`` is the number of rows merged into it.
+
+    Groups up to ``small_group_rows`` rows are decided on their gathered ranges,
+    larger ones without gathering; the result is the same.
     """
     keys = list(keys)
     if mode == "all_or_nothing":
-        return _all_or_nothing(df, keys, from_col, to_col, open_end)
+        return _all_or_nothing(df, keys, from_col, to_col, open_end, small_group_rows)
     if mode == "islands":
         return _islands(df, keys, from_col, to_col)
     raise ValueError(f"unknown consolidation mode: {mode!r}")
 
 
-def _all_or_nothing(df: DataFrame, keys: list[str], from_col: str, to_col: str, open_end: str) -> DataFrame:
+def _all_or_nothing(
+    df: DataFrame, keys: list[str], from_col: str, to_col: str, open_end: str, small_group_rows: int
+) -> DataFrame:
+    """Small groups in one shuffle, large ones by calendar marks.
+
+    Counting rows per group first combines map-side and is cheap next to moving
+    the rows. Without large groups, each row is then shuffled once.
+    """
+    large = durable(hot_keys(df, keys, small_group_rows), "large-groups")
+    n_large = large.count()
+    if n_large == 0:
+        return _from_arrays(df, keys, from_col, to_col, open_end)
+    if n_large > LISTED_GROUPS:
+        return _from_marks(df, keys, from_col, to_col, open_end)
+    listed, in_large = F.broadcast(large), same_key(df, large, keys)
+    return _from_arrays(df.join(listed, in_large, "left_anti"), keys, from_col, to_col, open_end).unionByName(
+        _from_marks(df.join(listed, in_large, "left_semi"), keys, from_col, to_col, open_end))
+
+
+def _from_arrays(df: DataFrame, keys: list[str], from_col: str, to_col: str, open_end: str) -> DataFrame:
+    """Decide on each group's gathered ranges, whose number is bounded."""
+    ranges = F.collect_list(F.struct(F.col(from_col).alias("f"), F.col(to_col).alias("t")))
+    groups = df.groupBy(*keys).agg(ranges.alias("_ranges")).withColumn(
+        "_starts", F.transform("_ranges", lambda r: r["f"])).withColumn("_last_start", F.array_max("_starts"))
+    fine = F.forall("_ranges", lambda r: (r["t"] == date_lit(open_end)) | (r["t"] >= F.col("_last_start"))
+                    | F.array_contains("_starts", F.date_add(r["t"], 1)))
+    whole = F.array(F.struct(
+        F.array_min("_starts").alias("f"), F.array_max(F.transform("_ranges", lambda r: r["t"])).alias("t")))
+    judged = groups.withColumn("_can", fine)
+    return judged.select(
+        *keys,
+        F.inline(F.when(F.col("_can"), whole).otherwise(F.col("_ranges"))).alias(from_col, to_col),
+        F.col("_can").alias("was_consolidated"),
+        F.size("_ranges").cast("bigint").alias("original_record_count"),
+    )
+
+
+def _from_marks(df: DataFrame, keys: list[str], from_col: str, to_col: str, open_end: str) -> DataFrame:
     """Decide per group from calendar-day facts instead of gathered range lists.
 
     Each range leaves two marks: its first day, and the day after its last one.

@@ -2,11 +2,13 @@ import datetime as dt
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import rows
+from conftest import final_plan, rows
 from feeds import FRAGMENTED_DAY1, OPEN, staged
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from spanledger.operators import consolidate
 from spanledger.operators.consolidate import consolidate_ranges, consolidation_impact, stage_contracts
 
 OPEN_DAY = dt.date(9999, 12, 31)
@@ -76,7 +78,7 @@ span = st.tuples(st.integers(0, 25), st.integers(0, 8), st.booleans()).map(
 groups = st.lists(st.tuples(st.integers(1, 12), span), min_size=1, max_size=90)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(groups)
 def test_random_groups_against_the_rule(spark, data):
     by_key = defaultdict(list)
@@ -84,11 +86,39 @@ def test_random_groups_against_the_rule(spark, data):
         by_key[key].append(r)
     df = spark.createDataFrame(
         [(k if k > 1 else None, f, t) for k, (f, t) in data], "k int, effective_from_date date, effective_to_date date")
-    for mode, rule in (("all_or_nothing", _strict), ("islands", _runs)):
+    # Gathered groups, a mixture, and groups decided by day marks only.
+    for mode, rule, small in (
+            ("all_or_nothing", _strict, 100), ("all_or_nothing", _strict, 4), ("all_or_nothing", _strict, 0),
+            ("islands", _runs, 100)):
         expected = Counter((k if k > 1 else None, *r) for k, g in by_key.items() for r in rule(g))
-        found = consolidate_ranges(df, ["k"], mode=mode).select(
+        found = consolidate_ranges(df, ["k"], mode=mode, small_group_rows=small).select(
             "k", "effective_from_date", "effective_to_date", "was_consolidated", "original_record_count")
-        assert Counter(tuple(r) for r in found.collect()) == expected
+        assert Counter(tuple(r) for r in found.collect()) == expected, (mode, small)
+
+
+@pytest.mark.parametrize("pairs,strict,islands", CASES)
+def test_known_cases_by_marks(spark, monkeypatch, pairs, strict, islands):
+    monkeypatch.setattr(consolidate, "LISTED_GROUPS", 0)
+    assert spans(consolidate_ranges(ranges(spark, pairs), small_group_rows=0)) == sorted(strict)
+
+
+def test_hot_group_is_split_at_run_time(spark, conf):
+    """A third of the rows in one group with gaps: its rows must not meet in one task."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="8",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="50KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000)
+    start = F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") % 9000).cast("int"))
+    df = spark.range(0, 60_000, 1, 12).select(
+        key.alias("k"), start.alias("effective_from_date"), F.date_add(start, 3).alias("effective_to_date"))
+    out = consolidate_ranges(df, ["k"], small_group_rows=0)
+    assert "skew=true" in final_plan(out)
+    assert out.filter("k = 0 and not was_consolidated").count() == df.filter("k = 0").count()
 
 
 def test_feed_and_impact(spark):
