@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanledger.functions.dates import TimeLike, interval, ts_lit
 
+# Batch states in the control log.
 COMPLETED = "completed"
 FAILED = "failed"
 

@@ -9,6 +9,11 @@ from spanledger.functions.dates import date_lit
 from spanledger.operators.ordering import HOT_GROUP_ROWS, lag_in_group
 from spanledger.schemas import CONTRACT_KEY, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 
+# Labels of the change report.
+NEW_RECORD = "New Record"
+AMOUNT_CHANGED = "Amount Changed"
+OTHER_CHANGE = "Other Change"
+
 
 def active_contracts(final: DataFrame, open_end: str = OPEN_END) -> DataFrame:
     return final.filter(F.col(TO_DATE) == date_lit(open_end))
@@ -56,9 +61,9 @@ def change_history(final: DataFrame, hot_limit: int = HOT_GROUP_ROWS) -> DataFra
         versions, [IDENTIFIER], [FROM_DATE, TO_DATE, "amount"], "amount", "previous_amount", hot_limit)
     previous = F.col("previous_amount")
     label = (
-        F.when(previous.isNull(), "New Record")
-        .when(F.col("amount") != previous, "Amount Changed")
-        .otherwise("Other Change")
+        F.when(previous.isNull(), NEW_RECORD)
+        .when(F.col("amount") != previous, AMOUNT_CHANGED)
+        .otherwise(OTHER_CHANGE)
     )
     return lagged.withColumn("change_type", label).select(
         IDENTIFIER, *CONTRACT_KEY, "amount", "previous_amount", "change_type", FROM_DATE, TO_DATE

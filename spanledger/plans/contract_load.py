@@ -1,4 +1,8 @@
-"""Daily contract loads as functions from state to state."""
+"""Daily contract loads as functions from state to state.
+
+The results are plans. Store them before the next day's load starts from them
+(``publish_snapshot``), or every load would run all earlier ones again.
+"""
 
 from __future__ import annotations
 

@@ -12,6 +12,7 @@ from spanledger.operators.scd2 import (
     PRESETS, dim_contracts, initial_load, scd2_apply, update_where_in, upsert_by_key, with_identifier,
 )
 from spanledger.plans.contract_load import build_dimension, consolidate_and_load, daily_load
+from spanledger.sources.scratch import durable
 
 OPEN_DAY = dt.date(9999, 12, 31)
 FINAL = ["contract_identifier", "contract_id", "territory_id", "external_contract_id", "amount", "interest_date",
@@ -50,6 +51,8 @@ def test_same_feed_on_three_days(spark, preset, counts):
     state = loaded(spark)
     for day, expected in zip(("2023-03-16", "2023-03-17", "2023-03-18"), counts):
         state = daily_load(staged(spark, CLEAN_DAY2), state.id_map, state.final, day, preset)
+        # Each day starts from a stored table; chaining plans would rerun all days before.
+        state = state._replace(id_map=durable(state.id_map, "map"), final=durable(state.final, "final"))
         final = state.final
         assert final.count() == expected
         open_rows = final.filter(F.col("effective_to_date") == F.lit(OPEN).cast("date"))
@@ -201,3 +204,15 @@ def test_initial_load_drops_unmapped_contracts(spark):
     feed = staged(spark, CLEAN_DAY1)
     ids = assign_ids(feed).filter("contract_id = 1")
     assert initial_load(feed, ids).count() == with_identifier(feed, ids).count() == 6
+
+
+def test_other_open_end(spark):
+    """A warehouse whose open rows end in 2999."""
+    open_end = "2999-12-31"
+    feed = [tuple(open_end if v == OPEN else v for v in r) for r in CLEAN_DAY1]
+    state = loaded(spark, feed)
+    next_feed = staged(spark, [tuple(open_end if v == OPEN else v for v in r) for r in CLEAN_DAY2])
+    ids = assign_ids(next_feed, state.id_map)
+    dim = dim_contracts(next_feed, ids, "2023-03-16", state.final, open_end=open_end)
+    assert dim.count() == 16 and dim.filter("is_current").count() == 8
+    assert dim_contracts(next_feed, ids, "2023-03-16", state.final).filter("is_current").count() == 0
