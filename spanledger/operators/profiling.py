@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,70 +63,85 @@ def profile_columns(
 ) -> DataFrame:
     """One row per column: type, counts, extremes and, with ``stats``, moments.
 
-    Exact distinct counts make Spark repeat each row once per column of an
-    aggregate, with all of its columns in the key. So only ``chunk`` columns share
-    one: on a columnar table each chunk reads its own columns only, and the
-    repeated rows stay narrow. ``chunk=None`` reads a costly derived input just
-    once. ``distinct="approx"`` keeps a fixed-size sketch per column, shuffles
-    next to nothing and always takes a single pass. Quartiles come from a sketch (rank error 1/10,000) or, with
+    Counts, extremes, moments and sketches of all columns come from one aggregate
+    pass. Exact distinct counts are kept apart from it: Spark repeats each row once
+    per distinct column of an aggregate, with all of them in the key. So ``chunk``
+    columns share one such aggregate, which on a columnar table reads just these
+    columns; ``chunk=None`` reads a costly derived input once. With
+    ``distinct="approx"`` fixed-size sketches in the first pass replace all that.
+    Quartiles come from a sketch (rank error 1/10,000) or, with
     ``quantiles="exact"``, from :func:`exact_quantiles`.
     """
     if distinct not in ("exact", "approx") or quantiles not in ("exact", "approx"):
         raise ValueError("distinct and quantiles must be 'exact' or 'approx'")
     names = list(columns or df.columns)
-    if distinct == "approx":
-        chunk = None
-    parts = [_profile_chunk(df, c, stats, distinct, quantiles) for c in _column_chunks(names, chunk)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if stats and quantiles == "exact":
-        numeric = [c for c in names if c in _castable_columns(df)]
-        out = out.join(F.broadcast(quartile_columns(df, numeric)), "column_name", "left")
-        out = out.withColumn("median_value", F.col("q2"))
-    return out.orderBy("column_name")
-
-
-def _profile_chunk(df: DataFrame, names: list[str], stats: bool, distinct: str, quantiles: str) -> DataFrame:
+    castable = [c for c in names if c in _castable_columns(df)]
+    exact_quartiles = stats and quantiles == "exact" and bool(castable)
+    out = _column_facts(df, names, stats, distinct == "approx", stats and not exact_quartiles)
+    # One row per column on either side of these joins.
+    if distinct == "exact":
+        out = out.join(F.broadcast(_distinct_counts(df, names, chunk)), "column_name")
+    if exact_quartiles:
+        out = out.join(F.broadcast(quartile_columns(df, castable)), "column_name", "left")
+    shown = ["column_name", "data_type", "total_count", "distinct_count", "null_count", "min_value", "max_value"]
+    picked = [F.col(c) for c in shown]
+    if stats:
+        picked += [F.col("avg_value"), F.col("stddev_value"), F.col("q2").alias("median_value"),
+                   F.col("q1"), F.col("q2"), F.col("q3")]
+    return out.select(*picked).orderBy("column_name")
+
+
+def _distinct_counts(df: DataFrame, names: Sequence[str], chunk: int | None) -> DataFrame:
+    parts = []
+    for some in _column_chunks(names, chunk):
+        counts = df.agg(*[F.count_distinct(_ref(c)).alias(f"d{i}") for i, c in enumerate(some)])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"d{i}").alias("distinct_count"))
+            for i, c in enumerate(some)]))))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def _column_facts(
+    df: DataFrame, names: list[str], stats: bool, sketch_distinct: bool, sketch_quartiles: bool
+) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     castable = [c for c in names if c in _castable_columns(df)] if stats else []
     numbers = {c: f"_number_{i}" for i, c in enumerate(castable)}
     if numbers:
         df = df.select(*[_ref(c) for c in names], *[as_double(df, c).alias(n) for c, n in numbers.items()])
-    count_values = F.count_distinct if distinct == "exact" else F.approx_count_distinct
-    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
     aggregates: list[Column] = [F.count("*").alias("total")]
     rows: list[Column] = []
+
+    def measured(aggregate: Column, alias: str) -> Column:
+        aggregates.append(aggregate.alias(alias))
+        return F.col(alias)
+
     for i, name in enumerate(names):
         value, number = _ref(name), numbers.get(name)
-        aggregates += [count_values(value).alias(f"d{i}"), F.count(value).alias(f"v{i}")]
-        cells = [
-            F.lit(name).alias("column_name"),
-            F.lit(types[name].simpleString()).alias("data_type"),
-            F.col("total").alias("total_count"),
-            F.col(f"d{i}").alias("distinct_count"),
-            (F.col("total") - F.col(f"v{i}")).alias("null_count"),
-        ]
-        low, high = no_text, no_text
+        cells = {
+            "column_name": F.lit(name),
+            "data_type": F.lit(types[name].simpleString()),
+            "total_count": F.col("total"),
+            "null_count": F.col("total") - measured(F.count(value), f"v{i}"),
+            "min_value": F.lit(None).cast("string"),
+            "max_value": F.lit(None).cast("string"),
+        }
         if isinstance(types[name], _WITH_EXTREMES):
-            aggregates += [F.min(value).cast("string").alias(f"lo{i}"), F.max(value).cast("string").alias(f"hi{i}")]
-            low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
-        cells += [low.alias("min_value"), high.alias("max_value")]
+            cells["min_value"] = measured(F.min(value).cast("string"), f"lo{i}")
+            cells["max_value"] = measured(F.max(value).cast("string"), f"hi{i}")
+        if sketch_distinct:
+            cells["distinct_count"] = measured(F.approx_count_distinct(value), f"d{i}")
         if stats:
-            mean = deviation = no_number
-            marks = [no_number] * 3
-            if number is not None:
-                aggregates += [F.avg(number).alias(f"a{i}"), F.stddev_samp(number).alias(f"s{i}")]
-                mean, deviation = F.col(f"a{i}"), F.col(f"s{i}")
-                if quantiles == "approx":
-                    aggregates.append(
-                        F.percentile_approx(number, list(QUARTILES), SKETCH_ACCURACY).alias(f"q{i}"))
-                    marks = [F.col(f"q{i}")[j] for j in range(3)]
-            cells += [mean.alias("avg_value"), deviation.alias("stddev_value")]
-            if quantiles == "approx":
-                cells += [marks[1].alias("median_value")]
-                cells += [m.alias(f"q{j + 1}") for j, m in enumerate(marks)]
-        rows.append(F.struct(*cells))
+            cells |= dict.fromkeys(("avg_value", "stddev_value"), F.lit(None).cast("double"))
+            if number:
+                cells["avg_value"] = measured(F.avg(number), f"a{i}")
+                cells["stddev_value"] = measured(F.stddev_samp(number), f"s{i}")
+        if sketch_quartiles:
+            sketch = F.lit(None).cast("array<double>")
+            if number:
+                sketch = measured(F.percentile_approx(number, list(QUARTILES), SKETCH_ACCURACY), f"q{i}")
+            cells |= {f"q{j + 1}": sketch[j] for j in range(len(QUARTILES))}
+        rows.append(F.struct(*[c.alias(k) for k, c in cells.items()]))
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 

@@ -21,15 +21,16 @@ def data_profiling(
     """Named result frames; nothing runs until one of them is used, except that
     ``clusters`` trains a k-means model."""
     numeric = [c for c in (columns or df.columns) if c in profiling.numeric_columns(df)]
-    out = {
-        "column_summary": profiling.profile_columns(df, columns, True, distinct, quantiles),
-        "quartiles": profiling.quartile_boundaries(df, numeric, quantiles),
-        "outliers": profiling.iqr_outliers(df, numeric, carry=carry, quantiles=quantiles),
-        "skewness": profiling.skewness_summary(df, numeric),
-        "log_values": profiling.log_transform(df, numeric),
-    }
+    out = {"column_summary": profiling.profile_columns(df, columns, True, distinct, quantiles)}
+    if numeric:
+        out |= {
+            "quartiles": profiling.quartile_boundaries(df, numeric, quantiles),
+            "outliers": profiling.iqr_outliers(df, numeric, carry=carry, quantiles=quantiles),
+            "skewness": profiling.skewness_summary(df, numeric),
+            "log_values": profiling.log_transform(df, numeric),
+        }
     if len(numeric) > 1:
         out["correlation"] = profiling.correlation_matrix(df, numeric)
-    if clusters:
+    if clusters and numeric:
         out["anomalies"] = kmeans_anomalies(df, numeric, clusters, carry=carry)
     return out

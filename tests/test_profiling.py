@@ -159,3 +159,12 @@ def test_chunks_read_their_own_columns_only(spark):
     lineitem = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     plan = final_plan(profiling.profile_columns(lineitem, ["l_tax", "l_discount"], chunk=1))
     assert "ReadSchema: struct<l_tax:double>" in plan and "ReadSchema: struct<l_discount:double>" in plan
+
+
+def test_tables_without_numbers(spark):
+    days = spark.sql("select date '2024-01-01' as d, true as b union all select null, false")
+    for quantiles in ("approx", "exact"):
+        found = profiling.profile_columns(days, stats=True, quantiles=quantiles).collect()
+        assert [(r.column_name, r.distinct_count, r.max_value, r.q1) for r in found] == [
+            ("b", 2, None, None), ("d", 1, "2024-01-01", None)]
+    assert set(data_profiling(days, clusters=2)) == {"column_summary"}
