@@ -79,22 +79,27 @@ def lag_in_group(
 ) -> DataFrame:
     """``lag(value)`` per group, also for groups too large for one task.
 
-    Ordinary groups use the window function. Rows of hot groups are numbered
-    globally, and each row meets its predecessor in an equi-join on that number,
+    Ordinary groups use the window function. In hot groups exact copies of a row are
+    first counted together, the remaining rows are numbered globally by all their
+    columns, and each row meets its predecessor in an equi-join on that number,
     which spreads evenly however the rows share keys.
     """
     normal, hot = split_hot(df, keys, hot_limit)
     lagged = normal.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order_by)))
     if hot is None:
         return lagged
-    number = "_place"
-    placed = number_rows(hot, [*keys, *order_by], number)
+    number, copies, copy = "_place", "_copies", "_copy"
+    leading = [*keys, *order_by]
+    others = [c for c in df.columns if c not in leading]
+    distinct_rows = hot.groupBy(*df.columns).agg(F.count("*").alias(copies))
+    placed = number_rows(distinct_rows, [*leading, *others], number)
     before = placed.select(
         (F.col(number) + 1).alias(number),
         *[F.col(k).alias(f"_prev_{k}") for k in keys],
         F.col(value).alias("_prev_value"),
     )
-    joined = placed.join(before, number, "left")
     same_group = all_of([F.col(k).eqNullSafe(F.col(f"_prev_{k}")) for k in keys])
-    stitched = joined.withColumn(name, F.when(same_group, F.col("_prev_value")))
-    return lagged.unionByName(stitched.select(*lagged.columns))
+    stitched = placed.join(before, number, "left").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    # The second and later copies follow the copy before them.
+    previous = F.when(F.col(copy) > 1, F.col(value)).when(same_group, F.col("_prev_value"))
+    return lagged.unionByName(stitched.withColumn(name, previous).select(*lagged.columns))

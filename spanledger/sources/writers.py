@@ -40,13 +40,16 @@ def write_clustered(
     """Range-cluster rows so that row-group min/max skip on ``cluster_by``.
 
     ``partition_by`` maps folder columns to expressions, e.g. a month start. The
-    range keys contain the cluster columns too, so one hot folder value is split
-    over many tasks instead of landing in one.
+    range keys go on with the cluster columns and the partition a row comes from,
+    so a hot folder value, a hot cluster key and even copies of one row are split
+    over many tasks and files. A row's source partition is the same when a task is
+    run again, so retries are safe.
     """
     partition_by = dict(partition_by or {})
     out = df.withColumns(partition_by) if partition_by else df
-    keys = [*partition_by, *cluster_by]
-    writer = out.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode)
+    keys, origin = [*partition_by, *cluster_by], "_origin"
+    spread = out.withColumn(origin, F.spark_partition_id()).repartitionByRange(*keys, origin).drop(origin)
+    writer = spread.sortWithinPartitions(*keys).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -55,6 +55,14 @@ def test_lag_of_hot_groups_equals_the_window(spark):
         assert rows(lag_in_group(df, ["k"], ["t"], "v", "p", hot_limit=limit)) == rows(expected)
 
 
+def test_lag_of_hot_groups_with_copies(spark):
+    """Mostly copies of one row, and rows that tie in the order but differ elsewhere."""
+    data = [(1, 5, 50)] * 200 + [(1, t, t) for t in range(10)] + [(2, 1, 7)] * 3 + [(2, 1, 8)] * 60
+    df = spark.createDataFrame(data, "k int, t int, v int").repartition(3)
+    expected = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "v")))
+    assert rows(lag_in_group(df, ["k"], ["t"], "v", "p", hot_limit=10)) == rows(expected)
+
+
 def test_change_history_is_the_same_however_groups_are_split(spark):
     final = spark.createDataFrame(
         [(1 + i % 2, 7, 100, float(i // 4), i, i + 1) for i in range(40)],
