@@ -101,6 +101,7 @@ def shaped(ctes: str, body: str, text: str = "", double: str = "", bigint: str =
 
 RANGE = "effective_from_date effective_to_date"
 DATES = f"interest_date {RANGE}"
+INDEXES = "contact_index skill_index hobby_index"
 SAME_GROUP = ("o.contract_id = c.contract_id AND o.external_contract_id = c.external_contract_id "
               "AND o.territory_id = c.territory_id AND o.amount = c.amount AND o.interest_date = c.interest_date")
 GROUPING = "contract_id, territory_id, external_contract_id, amount, interest_date"
@@ -318,7 +319,7 @@ ORACLES["event_properties"] = """
 SELECT event_id, event_type, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS BIGINT) AS k FROM events"""
 ORACLES["flatten_json"] = shaped(
     RECORDS, f"SELECT *, 'b1' AS batch_id, TIMESTAMP '2024-01-02 00:00:00' AS processed_at FROM ({FLAT.format(records='records')})",
-    "updated_at partition_date processed_at")
+    f"updated_at partition_date processed_at {INDEXES}")
 ORACLES["conform_records"] = ORACLES["flatten_json"]
 ORACLES["flatten_json_deduplicated"] = shaped(RECORDS + """,
 newest AS (
@@ -326,15 +327,15 @@ newest AS (
                     AS updated_at)
   FROM records),
 changed AS (SELECT * FROM newest WHERE updated_at > TIMESTAMP '2024-01-01 06:00:00')""",
-    FLAT.format(records="changed"), "updated_at partition_date")
+    FLAT.format(records="changed"), f"updated_at partition_date {INDEXES}")
 QUOTED = ["name", "address_city", "address_zip", "product_name", "product_details_brand", "product_details_specs_ram",
           "product_details_specs_storage", "contact", "skill", "hobby"]
 ORACLES["flatten_quoted"] = shaped(RECORDS, "SELECT * REPLACE (" + ", ".join(
     f"'\"' || {c} || '\"' AS {c}" for c in QUOTED) + f") FROM ({FLAT.format(records='records')})",
-    "updated_at partition_date")
+    f"updated_at partition_date {INDEXES}")
 ORACLES["flatten_contacts_apart"] = shaped(RECORDS, """
 SELECT record_id, updated_at, 'contact-' || i AS contact, i AS contact_index, CAST(updated_at AS DATE) AS partition_date
-FROM records JOIN range(0, 4) n(i) ON i < n_contacts""", "updated_at partition_date")
+FROM records JOIN range(0, 4) n(i) ON i < n_contacts""", "updated_at partition_date contact_index")
 TABLE1 = "record_id, updated_at, name, address_city, address_zip"
 TABLE2 = ("record_id, updated_at, product_name, product_details_brand, product_details_specs_ram, "
           "product_details_specs_storage")
@@ -353,12 +354,12 @@ FROM records WHERE product_name IS NOT NULL""", "updated_at partition_date")
 ORACLES["control_log"] = shaped(RECORDS, f"""
 SELECT 'records' AS target_table, 'b1' AS batch_id, TIMESTAMP '2024-02-01 00:00:00' AS start_time,
        TIMESTAMP '2024-02-01 01:00:00' AS end_time, 'completed' AS status, count(*) AS processed_record_count,
-       max(updated_at) AS watermark, CAST(NULL AS BOOLEAN) AS has_error, CAST(0 AS BIGINT) AS still_to_read
+       max(updated_at) AS watermark, false AS has_error, CAST(0 AS BIGINT) AS still_to_read
 FROM ({FLAT.format(records='records')})
 UNION ALL
-SELECT 'records', 'b2', TIMESTAMP '2024-02-01 01:30:00', TIMESTAMP '2024-02-01 02:00:00', 'failed', NULL, NULL, true, 0
+SELECT 'records', 'b2', TIMESTAMP '2024-02-01 01:30:00', TIMESTAMP '2024-02-01 02:00:00', 'failed', -1, NULL, true, 0
 """, "start_time end_time watermark")
-ORACLES["stream_flatten"] = shaped(RECORDS, FLAT.format(records="records"), "updated_at partition_date")
+ORACLES["stream_flatten"] = shaped(RECORDS, FLAT.format(records="records"), f"updated_at partition_date {INDEXES}")
 
 # --- profiling --------------------------------------------------------------------------
 

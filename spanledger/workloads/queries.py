@@ -26,11 +26,13 @@ QUERIES: dict[str, Query] = {}
 
 def plain_types(df: DataFrame) -> DataFrame:
     """Dates and times as text, decimals as doubles, integers as bigint, so that
-    results compare across engines without client conversions in between."""
+    results compare across engines without client conversions in between. Array
+    indexes, which can be NULL, are text too: some clients turn such integers into
+    floats."""
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) or f.name.endswith("_index"):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.DecimalType, T.FloatType)):
             c = c.cast("double")
@@ -389,8 +391,9 @@ def control_log(spark, sf_dir):
     log = batch.read_control(spark, control)
     left = incremental.incremental_extract(source, log, RECORD_RUN_TS, target="records")
     return log.select(
-        "target_table", "batch_id", "start_time", "end_time", "status", "processed_record_count", "watermark",
-        F.contains("error_message", F.lit("unreadable document")).alias("has_error"),
+        "target_table", "batch_id", "start_time", "end_time", "status", "watermark",
+        F.coalesce("processed_record_count", F.lit(-1)).alias("processed_record_count"),
+        F.coalesce(F.contains("error_message", F.lit("unreadable document")), F.lit(False)).alias("has_error"),
         left.agg(F.count("*").alias("n")).scalar().alias("still_to_read"),
     )
 
