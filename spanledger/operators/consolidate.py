@@ -93,11 +93,13 @@ def _from_arrays(df: DataFrame, keys: list[str], from_col: str, to_col: str, ope
     ranges = F.collect_list(F.struct(F.col(from_col).alias("f"), F.col(to_col).alias("t")))
     groups = df.groupBy(*keys).agg(ranges.alias("_ranges")).withColumn(
         "_starts", F.transform("_ranges", lambda r: r["f"])).withColumn("_last_start", F.array_max("_starts"))
-    fine = F.forall("_ranges", lambda r: (r["t"] == date_lit(open_end)) | (r["t"] >= F.col("_last_start"))
-                    | F.array_contains("_starts", F.date_add(r["t"], 1)))
+    fine = F.forall("_ranges", lambda r: r["f"].isNotNull() & (
+        (r["t"] == date_lit(open_end)) | (r["t"] >= F.col("_last_start"))
+        | F.array_contains("_starts", F.date_add(r["t"], 1))))
     whole = F.array(F.struct(
         F.array_min("_starts").alias("f"), F.array_max(F.transform("_ranges", lambda r: r["t"])).alias("t")))
-    judged = groups.withColumn("_can", fine)
+    # A missing date makes the test false or NULL: the group is kept as it is.
+    judged = groups.withColumn("_can", F.coalesce(fine, F.lit(False)))
     return judged.select(
         *keys,
         F.inline(F.when(F.col("_can"), whole).otherwise(F.col("_ranges"))).alias(from_col, to_col),
@@ -128,6 +130,7 @@ def _from_marks(df: DataFrame, keys: list[str], from_col: str, to_col: str, open
         F.count_if("_is_start").alias("_starts"),
         F.bool_or(~F.col("_is_start")).alias("_ends"),
         F.max("_to").alias("_to"),
+        F.bool_or(F.col("_is_start") & (F.col("_day").isNull() | F.col("_to").isNull())).alias("_undated"),
     )
     has_start = F.col("_starts") > 0
     groups = days.groupBy(*keys).agg(
@@ -136,8 +139,9 @@ def _from_marks(df: DataFrame, keys: list[str], from_col: str, to_col: str, open
         F.max("_to").alias("_max_to"),
         F.min(F.when(F.col("_ends") & ~has_start, F.date_sub("_day", 1))).alias("_first_loose_end"),
         F.sum("_starts").cast("bigint").alias("_rows"),
+        F.bool_or("_undated").alias("_undated"),
     )
-    can = F.coalesce(F.col("_first_loose_end") >= F.col("_max_from"), F.lit(True))
+    can = ~F.col("_undated") & F.coalesce(F.col("_first_loose_end") >= F.col("_max_from"), F.lit(True))
     groups = groups.withColumn("_can", can)
 
     def output(source: DataFrame, row_from: Column, row_to: Column) -> DataFrame:

@@ -89,7 +89,8 @@ def scd2_apply(
     rules = replace(rules or PRESETS[preset], **overrides)
     compare = list(rules.compare_cols)
     open_end, run = date_lit(rules.open_end), date_lit(run_date)
-    is_open = F.col(TO_DATE) == open_end
+    # Null-safe, so that a row without an end date still counts as closed and stays.
+    is_open = F.col(TO_DATE).eqNullSafe(open_end)
 
     summary = staged.groupBy(*CONTRACT_KEY).agg(*extremes(compare, "_s_"))
     keyed = summary.join(id_map.select(*CONTRACT_KEY, IDENTIFIER), CONTRACT_KEY, "inner")

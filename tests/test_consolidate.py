@@ -102,6 +102,19 @@ def test_known_cases_by_marks(spark, monkeypatch, pairs, strict, islands):
     assert spans(consolidate_ranges(ranges(spark, pairs), small_group_rows=0)) == sorted(strict)
 
 
+@pytest.mark.parametrize("small", [100, 0])
+def test_missing_dates_keep_the_group(spark, small):
+    df = spark.createDataFrame(
+        [(1, dt.date(2022, 1, 1), dt.date(2022, 1, 31)), (1, dt.date(2022, 2, 1), None), (2, None, OPEN_DAY),
+         (3, dt.date(2022, 1, 1), dt.date(2022, 1, 31)), (3, dt.date(2022, 2, 1), OPEN_DAY)],
+        "k int, effective_from_date date, effective_to_date date")
+    out = consolidate_ranges(df, ["k"], small_group_rows=small)
+    kept, merged = out.filter("not was_consolidated"), out.filter("was_consolidated")
+    columns = ["k", "effective_from_date", "effective_to_date"]
+    assert rows(kept, *columns) == rows(df.filter("k < 3"))
+    assert rows(merged, *columns) == [(3, dt.date(2022, 1, 1), OPEN_DAY)]
+
+
 def test_hot_group_is_split_at_run_time(spark, conf):
     """A third of the rows in one group with gaps: its rows must not meet in one task."""
     conf(

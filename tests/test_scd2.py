@@ -216,3 +216,10 @@ def test_other_open_end(spark):
     dim = dim_contracts(next_feed, ids, "2023-03-16", state.final, open_end=open_end)
     assert dim.count() == 16 and dim.filter("is_current").count() == 8
     assert dim_contracts(next_feed, ids, "2023-03-16", state.final).filter("is_current").count() == 0
+
+
+def test_rows_without_an_end_date_stay(spark):
+    state = loaded(spark)
+    undated = state.final.withColumn("effective_to_date", F.when(
+        F.col("effective_to_date") == F.lit(OPEN).cast("date"), F.col("effective_to_date")))
+    assert scd2_apply(undated, staged(spark, CLEAN_DAY2), state.id_map, "2023-03-16").count() == 14
