@@ -25,7 +25,7 @@ from spanledger.sources.scratch import durable
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 # Letters whose lower-case form, normal form and character class are beyond doubt; other words go to the tokenizer whole.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+\Z")
@@ -95,6 +95,10 @@ class WordEncoder:
         for raw, pieces in cut.items():
             self.words[raw] = parts[pieces[0]] if len(pieces) == 1 else b"".join([parts[p] for p in pieces])
 
+    def forget(self) -> None:
+        """Free the remembered words: a Python worker outlives its task and would hold them beside other operators."""
+        self.words, self.parts = {}, {}
+
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [t.split() for t in texts]
         begin = 0
@@ -130,6 +134,7 @@ def _pieces(batches, path: str, capacity: int):
                 part = tokens[at:at + 4 * capacity]
                 rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+    encoder.forget()
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.textops import NOT_ALPHANUMERIC, Words, chunks
+from spanledger.llm.textops import CHUNK_BYTES, NOT_ALPHANUMERIC, Words, chunks
 from spanledger.sources.scratch import durable
 
 CLASS_ROWS = 10_000  # labelled documents of a class that its model is counted on, on average
@@ -129,12 +129,11 @@ class ToxicityModel:
         owner = words.owner().astype(np.int64)
 
         def mine(keys):  # how many different bigrams of the text have this key
-            _, inverse = np.unique(np.stack([owner, keys]), axis=1, return_inverse=True)
-            inverse = inverse.ravel()
-            fresh = np.unique(np.stack([inverse, both_id]), axis=1)[0]
-            return np.bincount(fresh, minlength=inverse.max() + 1 if len(inverse) else 0)[inverse]
+            _, inverse = np.unique(owner << 32 | keys, return_inverse=True)
+            fresh = np.unique(inverse << 32 | pair_id) >> 32
+            return np.bincount(fresh, minlength=int(inverse.max()) + 1)[inverse]
 
-        _, both_id = np.unique(pair, return_inverse=True)
+        _, pair_id = np.unique(pair, return_inverse=True)
         mine_after, mine_before = mine(at), mine(before)
         logs = []
         for c in (0, 1):
@@ -250,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame, label: str = "tox
     shared_model = docs.sparkSession.sparkContext.broadcast(model)
 
     def seen(batches):
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK_BYTES // 4):
             y = batch.column(1).to_numpy(zero_copy_only=False)
             x = shared_model.value.evidence(batch.column(0), y)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(y)], names=["mean", "peak", "label"])
