@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.textops import NOT_ALPHANUMERIC, Words, chunks
+from spanledger.llm.textops import NOT_ALPHANUMERIC, Words, chunks, free_name
 
 SIMILARITY = 0.8
 TARGET_RECALL = 0.95
@@ -257,12 +257,13 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
                block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents that contain no item, with all their columns; nothing is shuffled."""
     columns = docs.columns
-    docs = docs.withColumn("_lowered", F.lower(F.col("text").cast("string")))
+    lowered = free_name(docs, "_lowered")
+    docs = docs.withColumn(lowered, F.lower(F.col("text").cast("string")))
     for index in _indexes(benchmark, similarity, target_recall, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def clean(batches, shared=shared):
-            for batch in chunks(batches, "_lowered"):
+            for batch in chunks(batches, lowered):
                 hit = {t for t, *_ in shared.value.matches(batch.column(batch.num_columns - 1))}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)])) if hit else batch
 

@@ -19,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRIE_BYTES = 64 << 20  # bytes of keys that a trie holds in memory
+from spanledger.llm.textops import free_name
+
+TRIE_BYTES = 32 << 20  # bytes of keys that a trie holds in memory
 _OUT_ROWS = 2_000
 
 
@@ -45,6 +47,17 @@ def _common(a: bytes, b: bytes, at: int) -> int:
     return low
 
 
+def _read(file):
+    """The rows of a spilled subtree; its file goes with them."""
+    file.seek(0)
+    while True:
+        try:
+            yield pickle.load(file)
+        except EOFError:
+            break
+    file.close()
+
+
 class PatriciaTrie:
     """Byte string to (smallest id, rows, payload).
 
@@ -114,7 +127,8 @@ class PatriciaTrie:
             return  # a single string: there is nothing to split
         file = tempfile.TemporaryFile()
         for key, value in self._walk(node, prefix):
-            pickle.dump((key, value), file, 4)
+            for row in [(key, value)] if key is not None else _read(value):  # a part that was spilled before
+                pickle.dump(row, file, 4)
         gone = node.weight
         node.children, node.value, node.file = {}, None, file
         for p in path:
@@ -142,17 +156,11 @@ class PatriciaTrie:
                 yield key, value
         self.root, self.held = _Node(b""), 0
         for file in files:
-            file.seek(0)
             sub = PatriciaTrie(self.budget)
-            while True:
-                try:
-                    key, value = pickle.load(file)
-                except EOFError:
-                    break
+            for key, value in _read(file):
                 sub.insert(key, value)
                 if sub.full:
                     sub.spill()
-            file.close()
             yield from sub.items()
 
 
@@ -219,5 +227,6 @@ def exact_duplicates(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
 
 def keep_first(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
     """The documents that stay, with all their columns."""
-    verdicts = exact_duplicates(docs, budget).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(verdicts, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept_id = free_name(docs, "_kept_id")
+    verdicts = exact_duplicates(docs, budget).filter("kept").select(F.col("doc_id").alias(kept_id))
+    return docs.join(verdicts, docs["doc_id"].cast("long").eqNullSafe(F.col(kept_id)), "left_semi")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanledger.llm.components import connected_components
-from spanledger.llm.textops import LOWER, chunks
+from spanledger.llm.textops import LOWER, chunks, free_name
 from spanledger.sources.scratch import durable
 
 SHINGLE_WORDS = 3
@@ -245,5 +245,6 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, distance: int =
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents that are the smallest id of their component, with all their columns."""
-    kept = near_duplicates(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept_id = free_name(docs, "_kept_id")
+    kept = near_duplicates(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept_id))
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col(kept_id)), "left_semi")

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 2 << 20  # text bytes that are worked on at once in a task
@@ -36,6 +36,14 @@ def train_fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 != 1, F.lit(False))
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the whole word."""
     h = h ^ (h >> _U(33))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.textops import CHUNK_BYTES, NOT_ALPHANUMERIC, Words, chunks
+from spanledger.llm.textops import CHUNK_BYTES, NOT_ALPHANUMERIC, Words, chunks, free_name
 from spanledger.sources.scratch import durable
 
 CLASS_ROWS = 10_000  # labelled documents of a class that its model is counted on, on average
@@ -284,11 +284,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, threshold: floa
 def drop_toxic(docs: DataFrame, model: ToxicityModel | None, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score below the threshold, with all their columns; nothing is shuffled."""
     columns = docs.columns
-    rows = docs.withColumn("_scored", F.col("text").cast("string"))
+    scored = free_name(docs, "_scored")
+    rows = docs.withColumn(scored, F.col("text").cast("string"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def clean(batches):
-        for batch in chunks(batches, "_scored"):
+        for batch in chunks(batches, scored):
             yield batch.filter(pa.array(_scores(shared.value, batch.column(batch.num_columns - 1)) < threshold))
 
     return rows.mapInArrow(clean, rows.schema).select(*columns)
