@@ -26,25 +26,37 @@ def watermark(
 
     It is the newest mark of the completed batches, or ``run_ts`` minus the
     lookback when there is none. ``max_updated_at`` uses the newest change
-    timestamp a batch has read; ``end_time`` uses when the batch finished, which
-    skips rows changed while it ran. Spark fills the value in before the scan, so
+    timestamp a batch has read, and the end time only for a log without any such
+    mark; a batch that read no rows never moves it. ``end_time`` uses when the
+    batch finished, which skips rows changed while it ran. Spark fills the value in before the scan, so
     a comparison with it still reaches the parquet row-group filters.
     """
     done = control.filter(F.col("status") == COMPLETED)
     if target is not None:
         done = done.filter(F.col("target_table") == target)
-    if kind == "max_updated_at" and "watermark" in control.columns:
-        mark = F.coalesce(F.col("watermark"), F.col("end_time"))
-    elif kind in ("max_updated_at", "end_time"):
-        mark = F.col("end_time")
-    else:
+    marks = [F.max(F.col("end_time").cast(data_type))]
+    if kind == "max_updated_at":
+        if "processed_record_count" in control.columns:
+            read_rows = F.coalesce(F.col("processed_record_count") > 0, F.lit(True))
+            marks = [F.max(F.when(read_rows, F.col("end_time").cast(data_type)))]
+        if "watermark" in control.columns:
+            marks.insert(0, F.max(F.col("watermark").cast(data_type)))
+    elif kind != "end_time":
         raise ValueError(f"unknown watermark kind: {kind!r}")
     fallback = ts_lit(run_ts, data_type) - interval(*lookback)
-    return done.select(F.coalesce(F.max(mark.cast(data_type)), fallback.cast(data_type)).alias("mark")).scalar()
+    return done.select(F.coalesce(*marks, fallback.cast(data_type)).alias("mark")).scalar()
 
 
-def latest_marks(control: DataFrame, run_ts: TimeLike, lookback: tuple[int, str] = (1, "year")) -> DataFrame:
-    """Per target: newest end time in the log, or ``run_ts`` minus the lookback."""
+def latest_marks(
+    control: DataFrame, run_ts: TimeLike, lookback: tuple[int, str] = (1, "year"),
+    statuses: Sequence[str] | None = (COMPLETED,),
+) -> DataFrame:
+    """Per target: newest end time in the log, or ``run_ts`` minus the lookback.
+
+    Only batches in ``statuses`` count, as for ``watermark``; None counts all.
+    """
+    if statuses is not None:
+        control = control.filter(F.col("status").isin(list(statuses)))
     data_type = control.schema["end_time"].dataType
     fallback = (ts_lit(run_ts, data_type) - interval(*lookback)).cast(data_type)
     return control.groupBy("target_table").agg(
@@ -66,13 +78,14 @@ def incremental_extract(
 
 
 def attach_control(
-    source: DataFrame, control: DataFrame, target: str, run_ts: TimeLike, lookback: tuple[int, str] = (1, "year")
+    source: DataFrame, control: DataFrame, target: str, run_ts: TimeLike, lookback: tuple[int, str] = (1, "year"),
+    statuses: Sequence[str] | None = (COMPLETED,),
 ) -> DataFrame:
     """Add one target's control mark to every row (a left join on a constant).
 
     The right side has at most one row, so it is a scalar, NULL when absent.
     """
-    marks = latest_marks(control, run_ts, lookback).filter(F.col("target_table") == target)
+    marks = latest_marks(control, run_ts, lookback, statuses).filter(F.col("target_table") == target)
     return source.withColumn("last_extraction_time", marks.select("last_extraction_time").scalar()).withColumn(
         "target_table", F.lit(target))
 

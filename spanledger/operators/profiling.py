@@ -21,9 +21,10 @@ def _ref(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-# Text that a cast to double accepts. A failing cast costs an exception inside
+# Text that is a number; codes such as 10F or 12D, which Java reads as numbers,
+# are not. A failing cast costs an exception inside
 # the JVM, so text that cannot succeed is turned to NULL by this cheap test first.
-_NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?|(?i:nan|inf|infinity))\s*$"
+_NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
 
 
 def as_double(df: DataFrame, name: str) -> Column:

@@ -22,6 +22,10 @@ class Scd2Rules:
     """How one load style decides and writes.
 
     compare_cols: columns whose difference makes a new version.
+    compare_with: an open row is compared with the ``open`` staged rows of its
+        identifier (with all of them when none is open), or always with ``all``.
+        With ``all``, a closed staged row that differs from the open one makes
+        another version on every day that the same feed comes in.
     expire_scope: ``row`` expires the open rows that differ; ``identifier``
         expires all open rows of an identifier with any differing one.
     version_from: ``open`` makes new versions from open staged rows only,
@@ -40,16 +44,20 @@ class Scd2Rules:
     new_against: str = "all"
     null_safe: bool = False
     open_end: str = OPEN_END
+    compare_with: str = "open"
 
 
 # What each known load style compares. ``sqlite`` and ``merge``
 # compare dates that a new version overwrites, so feeding them an unchanged row
-# again makes another version; they exist for parity only.
+# again makes another version; they exist for parity only, as does
+# ``final_parity``: versions from all staged rows of a changed identifier, and
+# "new" judged against open rows alone.
 PRESETS = {
-    "sqlite": Scd2Rules((*CONTRACT_ATTRIBUTES, FROM_DATE, TO_DATE), "identifier", "all", "open"),
-    "merge": Scd2Rules((*CONTRACT_ATTRIBUTES, FROM_DATE), "row", "all", "open"),
+    "sqlite": Scd2Rules((*CONTRACT_ATTRIBUTES, FROM_DATE, TO_DATE), "identifier", "all", "open", compare_with="all"),
+    "merge": Scd2Rules((*CONTRACT_ATTRIBUTES, FROM_DATE), "row", "all", "open", compare_with="all"),
     "dbt_v1": Scd2Rules(),
     "dbt_final": Scd2Rules(),
+    "final_parity": Scd2Rules(version_from="all", new_against="current", compare_with="all"),
 }
 
 
@@ -92,7 +100,7 @@ def scd2_apply(
     # Null-safe, so that a row without an end date still counts as closed and stays.
     is_open = F.col(TO_DATE).eqNullSafe(open_end)
 
-    summary = staged.groupBy(*CONTRACT_KEY).agg(*extremes(compare, "_s_"))
+    summary = _staged_summary(staged, compare, is_open, rules)
     keyed = summary.join(id_map.select(*CONTRACT_KEY, IDENTIFIER), CONTRACT_KEY, "inner")
 
     open_rows = _with_stored_key(prior, sk_from).filter(is_open)
@@ -130,6 +138,19 @@ def scd2_apply(
     )
 
 
+def _staged_summary(staged: DataFrame, compare: list[str], is_open: Column, rules: Scd2Rules) -> DataFrame:
+    """One row per key with the extremes of the staged rows that count for comparison."""
+    if rules.compare_with == "all":
+        return staged.groupBy(*CONTRACT_KEY).agg(*extremes(compare, "_s_"))
+    both = staged.groupBy(*CONTRACT_KEY).agg(
+        F.bool_or(is_open).alias("_any_open"), *extremes(compare, "_o_", is_open), *extremes(compare, "_a_"))
+    chosen = [
+        F.when(F.col("_any_open"), F.col(f"_o_{k}_{c}")).otherwise(F.col(f"_a_{k}_{c}")).alias(f"_s_{k}_{c}")
+        for c in compare for k in ("min", "max", "null")
+    ]
+    return both.select(*CONTRACT_KEY, *chosen)
+
+
 def _flag_changes(open_rows: DataFrame, keyed: DataFrame, compare: list[str], rules: Scd2Rules) -> DataFrame:
     if rules.expire_scope == "row":
         joined = open_rows.join(keyed, IDENTIFIER, "left")

@@ -20,7 +20,8 @@ def new_batch_id() -> str:
 
 
 def _utc_now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    """With its zone, so that it is read right whatever the session's zone is."""
+    return dt.datetime.now(dt.timezone.utc)
 
 
 def control_row(
@@ -62,7 +63,8 @@ def run_batch(
 
     Only a finished write is logged as completed, with its row count and newest
     change time; an error is logged as failed with its message and raised again,
-    so the next run reads from the same mark. Count and mark are observed on the
+    so the next run reads from the same mark; so it does after an empty batch,
+    which has no newest change time. Count and mark are observed on the
     rows as the last stage writes them: no second read, and a retried task does
     not count twice. If the log append itself fails the batch is read again, so
     delivery is at least once.
@@ -78,7 +80,7 @@ def run_batch(
         observed.write.mode("append").partitionBy(*partition_by).parquet(target_path)
         outcome = seen.get
     except Exception as error:
-        log_batch(spark, control_path, batch_id, started, clock(), FAILED, None, str(error)[:4000], target)
+        log_batch(spark, control_path, batch_id, started, clock(), FAILED, None, str(error), target)
         raise
     log_batch(spark, control_path, batch_id, started, clock(), COMPLETED, outcome["n"], None, target,
               outcome["newest"])

@@ -31,7 +31,7 @@ def source(spark):
 
 @pytest.mark.parametrize("options,expected", [
     (dict(kind="end_time"), 11),                          # after 04:00, failed batch ignored
-    (dict(), 11),
+    (dict(), 16),                                         # the newest stored mark; batches without one do not count
     (dict(target="t1"), 16),                              # after the newest record read, 01:30
     (dict(target="t1", kind="end_time"), 15),             # after 02:00
     (dict(target="t9", lookback=(2, "hour")), 3),         # never run: 08:00 by lookback
@@ -114,6 +114,47 @@ def test_empty_batch(spark, source):
     assert n == row.processed_record_count == 0 and row.watermark is None
 
 
+def test_empty_batch_does_not_move_the_mark(spark, source):
+    """What changed while an empty batch ran is read by the next one."""
+    target, log = fresh_path(spark, "t"), fresh_path(spark, "c")
+    run_batch(batch_rows(source).limit(0), target, log, target="t", clock=clock("2024-01-09 00:00:00", "2024-01-09 00:20:00"))
+    assert incremental_extract(source, read_control(spark, log), "2024-01-02 00:00:00", (1, "year"), "t").count() == 20
+    cut = source.selectExpr("timestamp_seconds(floor(avg(unix_timestamp(updated_at)))) t").first().t
+    early = source.filter(F.col("updated_at") <= F.lit(cut))
+    n = run_batch(batch_rows(early), target, log, target="t", clock=clock("2024-01-09 01:00:00", "2024-01-09 01:10:00"))
+    run_batch(batch_rows(source).limit(0), target, log, target="t", clock=clock("2024-01-09 02:00:00", "2024-01-09 02:20:00"))
+    assert incremental_extract(source, read_control(spark, log), "2024-01-09 03:00:00", target="t").count() == 20 - n > 0
+
+
+def test_whole_error_text_is_kept(spark, source):
+    log = fresh_path(spark, "c")
+    text = "x" * 9000 + "cause"
+    broken = batch_rows(source).withColumn("x", F.raise_error(F.lit(text)).cast("string"))
+    with pytest.raises(Exception, match="cause"):
+        run_batch(broken, fresh_path(spark, "t"), log, clock=clock("2024-01-02 00:00:00", "2024-01-02 00:01:00"))
+    assert text in read_control(spark, log).first().error_message
+
+
+def test_log_time_is_right_in_any_zone(spark, source, conf):
+    import datetime as dt
+
+    log = fresh_path(spark, "c")
+    conf(spark__sql__session__timeZone="America/New_York")
+    run_batch(batch_rows(source), fresh_path(spark, "t"), log)
+    ended = read_control(spark, log).select(F.unix_timestamp("end_time")).first()[0]
+    assert abs(ended - dt.datetime.now(dt.timezone.utc).timestamp()) < 300
+
+
+def test_failed_batches_have_no_mark(spark):
+    log = fresh_path(spark, "c")
+    log_batch(spark, log, "a", "2024-01-01 00:00:00", "2024-01-01 01:00:00", "completed", 5, target="t")
+    log_batch(spark, log, "b", "2024-01-01 02:00:00", "2024-01-01 03:00:00", "failed", None, "lost", target="t")
+    control = read_control(spark, log)
+    hour = lambda df: df.select(F.hour("last_extraction_time")).first()[0]
+    assert hour(latest_marks(control, "2024-01-02 00:00:00")) == 1
+    assert hour(latest_marks(control, "2024-01-02 00:00:00", statuses=None)) == 3
+
+
 def test_manual_log_row(spark):
     log = fresh_path(spark, "c")
     ids = {new_batch_id() for _ in range(3)}

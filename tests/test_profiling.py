@@ -88,13 +88,18 @@ def test_profile_rejects_unknown_modes(df):
 
 
 def test_text_is_read_as_a_number_exactly_when_a_cast_would(spark):
-    texts = ["1", "-1", "+1.5", ".5", "5.", "1e3", "1E-2", " 7 ", "1d", "2F", "nan", "NaN", "inf", "-Infinity", "+inf",
+    texts = ["1", "-1", "+1.5", ".5", "5.", "1e3", "1E-2", " 7 ", "nan", "NaN", "inf", "-Infinity", "+inf",
              "", " ", "abc", "1a", "1 2", "--1", "e3", ".", "0x1F", "١"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     both = df.select("t", profiling.as_double(df, "t").alias("a"), F.col("t").try_cast("double").alias("b"))
     assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
 
 
+def test_codes_with_a_suffix_are_no_numbers(spark):
+    df = spark.createDataFrame([("10F",), ("12D",), ("1d",), ("7",)], "t string")
+    assert [r[0] for r in df.select(profiling.as_double(df, "t")).collect()] == [None, None, None, 7.0]
+
+
 def test_outliers(spark):
     df = spark.createDataFrame([(i, float(i % 10), 500.0 if i == 3 else 1.0 * i) for i in range(100)] + [(100, -90.0, None)],
                                "id int, a double, b double")

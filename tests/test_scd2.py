@@ -118,6 +118,19 @@ def test_several_staged_rows_of_one_identifier(spark):
     assert scd2_apply(state.final, new, state.id_map, "2023-03-01", version_from="all").count() == 3
 
 
+@pytest.mark.parametrize("preset, counts", [("dbt_final", [2, 2, 2]), ("dbt_v1", [2, 2, 2]), ("final_parity", [4, 6, 8])])
+def test_unchanged_feed_with_a_gap(spark, preset, counts):
+    """A closed range at one amount and an open one at another, fed unchanged on three days."""
+    feed = staged(spark, [(1, 100, "E", "900.00", "2023-03-15", "2022-01-01", "2022-06-30"),
+                          (1, 100, "E", "950.00", "2023-03-15", "2022-08-01", OPEN)])
+    ids = assign_ids(feed)
+    rows_by_day, prior = [], initial_load(feed, ids)
+    for day in ("2023-03-16", "2023-03-17", "2023-03-18"):
+        prior = scd2_apply(prior, feed, ids, day, preset)
+        rows_by_day.append(prior.count())
+    assert rows_by_day == counts
+
+
 def test_null_safe_comparison(spark):
     state = loaded(spark, [(1, 100, "E", "1.00", "2023-01-01", "2022-01-01", OPEN)])
     new = staged(spark, [(1, 100, None, "1.00", "2023-01-01", "2022-01-01", OPEN)])
@@ -138,8 +151,13 @@ def _brute_force(prior, feed, ids, run, rules):
             return a is not None and b is not None and a != b
         return any(ne(c) for c in rules.compare_cols)
 
+    def compared(i):
+        own = [s for s in feed if s[0] == i]
+        still_open = [s for s in own if s[-1] == OPEN_DAY]
+        return still_open if rules.compare_with == "open" and still_open else own
+
     changed_pairs = {(p[0], p) for p in prior if p[-1] == OPEN_DAY
-                     for s in feed if s[0] == p[0] and differs(p, s)}
+                     for s in compared(p[0]) if differs(p, s)}
     changed_ids = {i for i, _ in changed_pairs}
     out = []
     for p in prior:
@@ -157,7 +175,7 @@ def _brute_force(prior, feed, ids, run, rules):
 
 @pytest.mark.parametrize("seed,overrides", [
     (1, {}), (2, {"null_safe": True}), (3, {"new_against": "current", "version_from": "all"}),
-    (4, {"preset": "merge"}), (5, {"preset": "sqlite"}), (6, {"preset": "sqlite", "null_safe": True})])
+    (4, {"preset": "merge"}), (7, {"preset": "final_parity"}), (8, {"compare_with": "all"}), (5, {"preset": "sqlite"}), (6, {"preset": "sqlite", "null_safe": True})])
 def test_random_loads_against_brute_force(spark, seed, overrides):
     from dataclasses import replace
 
