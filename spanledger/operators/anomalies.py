@@ -22,7 +22,7 @@ def kmeans_distances(
     seed: int = 42,
     max_iter: int = 20,
 ) -> DataFrame:
-    """Cluster label and distance to its centre for every row with all features.
+    """Cluster label, distance to its centre and to the nearest centre for every row with all features.
 
     Features are brought to unit variance first unless ``standardize`` is off.
     Only the k centres come to the driver; distances are column arithmetic.
@@ -42,18 +42,16 @@ def kmeans_distances(
     vectors = VectorAssembler(inputCols=inputs, outputCol="_vector").transform(numbers)
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_vector", predictionCol="cluster_label").fit(vectors)
     centres = model.clusterCenters()
-    squares = []
-    for i, f in enumerate(inputs):
-        coordinate = F.array(*[F.lit(float(c[i])) for c in centres])
-        squares.append(F.pow(F.col(f) - F.get(coordinate, F.col("cluster_label")), 2))
-    labelled = model.transform(vectors)
+    squares = [reduce(lambda a, b: a + b, [F.pow(F.col(f) - float(x), 2) for f, x in zip(inputs, c)]) for c in centres]
+    labelled = model.transform(vectors).withColumn("_squares", F.array(*squares))
     return labelled.select(*carry, *columns, "cluster_label",
-                           F.sqrt(reduce(lambda a, b: a + b, squares)).alias("distance"))
+                           F.sqrt(F.get("_squares", F.col("cluster_label"))).alias("distance"),
+                           F.sqrt(F.array_min("_squares")).alias("nearest_distance"))
 
 
 def kmeans_anomalies(
     df: DataFrame, columns: Sequence[str], k: int = 3, top: int = 10, carry: Sequence[str] = (), **options
 ) -> DataFrame:
     """The ``top`` rows farthest from their cluster centre."""
-    far = kmeans_distances(df, columns, k, carry, **options)
+    far = kmeans_distances(df, columns, k, carry, **options).drop("nearest_distance")
     return far.orderBy(F.col("distance").desc(), *carry).limit(top)

@@ -17,8 +17,9 @@ from spanledger.sources.scratch import durable
 
 # Groups up to this many rows are gathered whole; each range looks through it once.
 SMALL_GROUP_ROWS = 100
-# Most keys of larger groups that are handed to all executors to split the rows by.
+# Most keys of larger groups that are handed to all executors to split the rows by, and their most bytes.
 LISTED_GROUPS = 100_000
+LISTED_BYTES = 32 << 20
 
 
 def stage_contracts(
@@ -46,6 +47,7 @@ def consolidate_ranges(
     open_end: str = OPEN_END,
     mode: str = "all_or_nothing",
     small_group_rows: int = SMALL_GROUP_ROWS,
+    listed_groups: int = LISTED_GROUPS,
 ) -> DataFrame:
     """Merge closed day ranges of rows that agree on ``keys``.
 
@@ -59,18 +61,20 @@ def consolidate_ranges(
     ``original_record_count`` is the number of rows merged into it.
 
     Groups up to ``small_group_rows`` rows are decided on their gathered ranges,
-    larger ones without gathering; the result is the same.
+    larger ones without gathering. With more than ``listed_groups`` larger ones no
+    group is gathered. The result is the same.
     """
     keys = list(keys)
     if mode == "all_or_nothing":
-        return _all_or_nothing(df, keys, from_col, to_col, open_end, small_group_rows)
+        return _all_or_nothing(df, keys, from_col, to_col, open_end, small_group_rows, listed_groups)
     if mode == "islands":
         return _islands(df, keys, from_col, to_col)
     raise ValueError(f"unknown consolidation mode: {mode!r}")
 
 
 def _all_or_nothing(
-    df: DataFrame, keys: list[str], from_col: str, to_col: str, open_end: str, small_group_rows: int
+    df: DataFrame, keys: list[str], from_col: str, to_col: str, open_end: str, small_group_rows: int,
+    listed_groups: int,
 ) -> DataFrame:
     """Small groups in one shuffle, large ones by calendar marks.
 
@@ -78,10 +82,11 @@ def _all_or_nothing(
     the rows. Without large groups, each row is then shuffled once.
     """
     large = durable(hot_keys(df, keys, small_group_rows), "large-groups")
-    n_large = large.count()
+    key_bytes = F.sum(F.octet_length(F.to_json(F.struct(*keys))))
+    n_large, n_bytes = large.agg(F.count(F.lit(1)), F.coalesce(key_bytes, F.lit(0))).first()
     if n_large == 0:
         return _from_arrays(df, keys, from_col, to_col, open_end)
-    if n_large > LISTED_GROUPS:
+    if n_large > listed_groups or n_bytes > LISTED_BYTES:
         return _from_marks(df, keys, from_col, to_col, open_end)
     listed, in_large = F.broadcast(large), same_key(df, large, keys)
     return _from_arrays(df.join(listed, in_large, "left_anti"), keys, from_col, to_col, open_end).unionByName(

@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,13 @@ def log_batch(spark: SparkSession, control_path: str, *row, **fields) -> None:
 
 
 def read_control(spark: SparkSession, control_path: str) -> DataFrame:
-    return spark.read.schema(CONTROL_LOG).parquet(control_path)
+    """The control log; empty before the first batch."""
+    try:
+        return spark.read.schema(CONTROL_LOG).parquet(control_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return inline_rows(spark, [], CONTROL_LOG)
 
 
 def run_batch(

@@ -1,7 +1,9 @@
 """Daily contract loads as functions from state to state.
 
-The results are plans. Store them before the next day's load starts from them
-(``publish_snapshot``), or every load would run all earlier ones again.
+Consolidated rows and id maps are used several times in a load, so they are
+written to the shared folder when a load is called; the history comes as a plan.
+Store it before the next day's load starts from it (``publish_snapshot``), or
+every load would run all earlier ones again.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from spanledger.operators.consolidate import consolidate_contracts
 from spanledger.operators.identifiers import assign_ids
 from spanledger.operators.scd2 import dim_contracts, initial_load, scd2_apply
 from spanledger.schemas import CONTRACT_COLUMNS
+from spanledger.sources.scratch import durable
 
 
 class Loaded(NamedTuple):
@@ -37,7 +40,7 @@ def daily_load(
     **options,
 ) -> Loaded:
     """Number new contracts, then apply the staged rows to the history."""
-    new_map = assign_ids(staged, id_map)
+    new_map = durable(assign_ids(staged, id_map), "id-map")
     if final is None:
         return Loaded(new_map, initial_load(staged, new_map))
     return Loaded(new_map, scd2_apply(final, staged, new_map, run_date, preset, **options))
@@ -54,7 +57,7 @@ def consolidate_and_load(
     **options,
 ) -> ConsolidatedLoad:
     """Merge fragmented ranges first, then load the result."""
-    consolidated = consolidate_contracts(staged, run_ts, mode)
+    consolidated = durable(consolidate_contracts(staged, run_ts, mode), "consolidated")
     rows = consolidated.select(*CONTRACT_COLUMNS)
     loaded = daily_load(rows, id_map, final, run_date, preset, **options)
     return ConsolidatedLoad(consolidated, *loaded)
@@ -70,7 +73,7 @@ def build_dimension(
     **options,
 ) -> ConsolidatedLoad:
     """Staged rows to consolidated ranges, ids and the contract dimension."""
-    consolidated = consolidate_contracts(staged, run_ts, mode)
+    consolidated = durable(consolidate_contracts(staged, run_ts, mode), "consolidated")
     rows = consolidated.select(*CONTRACT_COLUMNS)
-    new_map = assign_ids(rows, id_map)
+    new_map = durable(assign_ids(rows, id_map), "id-map")
     return ConsolidatedLoad(consolidated, new_map, dim_contracts(rows, new_map, run_date, prior_dim, **options))

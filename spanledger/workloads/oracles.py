@@ -187,8 +187,10 @@ FROM ({DBT_ROWS})"""
 
 
 SPINE = """
-months AS (SELECT CAST(m AS DATE) AS effective_date
-           FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-03-31', INTERVAL 1 MONTH) r(m))"""
+span AS (SELECT date_trunc('month', min(CAST(o_orderdate AS DATE)))::TIMESTAMP AS s,
+                last_day(CAST(max(CAST(o_orderdate AS DATE)) + INTERVAL 3 MONTH AS DATE))::TIMESTAMP AS e FROM orders),
+months AS (SELECT CAST(unnest(range(s, e, INTERVAL 1 MONTH)) AS DATE) AS effective_date FROM span)"""
+# The territory reference seed.
 TERRITORIES = """
 territories(territory_id, territory_name, region, country) AS (VALUES
   (100, 'Northeast', 'East', 'USA'), (101, 'Southeast', 'East', 'USA'), (102, 'Midwest', 'Central', 'USA'),
@@ -200,6 +202,8 @@ ORACLES: dict[str, str] = {}
 # --- consolidation and identifiers ------------------------------------------------
 
 ORACLES["consolidate_all_or_nothing"] = shaped(CONSOLIDATED, "SELECT * FROM consolidated", DATES, "amount")
+ORACLES["consolidate_by_marks"] = ORACLES["consolidate_all_or_nothing"]
+ORACLES["consolidate_mixed_groups"] = ORACLES["consolidate_all_or_nothing"]
 ORACLES["consolidate_islands"] = shaped(ISLANDS, f"""
 SELECT {GROUPING}, min(effective_from_date) AS effective_from_date, max(effective_to_date) AS effective_to_date,
        count(*) > 1 AS was_consolidated, count(*) AS original_record_count
@@ -232,6 +236,10 @@ ORACLES["scd2_merge"] = shaped(
     BOTH_DAYS, _final(scd2(MERGE_DIFFERS, False, False, "DATE '9999-12-31'")), DATES, "amount")
 ORACLES["scd2_dbt_v1"] = shaped(BOTH_DAYS, _final(DBT_ROWS), DATES, "amount")
 ORACLES["scd2_dbt_final"] = ORACLES["scd2_dbt_v1"]
+ORACLES["scd2_final_parity"] = shaped(
+    BOTH_DAYS, _final(scd2(ATTRIBUTES_DIFFER, False, False, "s.effective_to_date")), DATES, "amount")
+ORACLES["scd2_gapped_feed"] = shaped(HISTORY, """
+SELECT * FROM history WHERE effective_to_date = DATE '9999-12-31' OR day(effective_from_date) % 5 <> 0""", DATES, "amount")
 ORACLES["dim_contracts"] = shaped(BOTH_DAYS, _dim("effective_from_date"), DATES, "amount")
 ORACLES["dim_contracts_staged_key"] = shaped(BOTH_DAYS, _dim("staged_from"), DATES, "amount")
 ORACLES["upsert_by_key"] = shaped(DAY2, """
@@ -276,6 +284,7 @@ SELECT h.contract_identifier, h.contract_id, h.territory_id, h.amount, b.amount
 FROM history h LEFT JOIN history b
   ON b.contract_identifier = h.contract_identifier AND b.effective_to_date = h.effective_from_date - 1
 """, RANGE, "amount previous_amount")
+ORACLES["change_history_hot"] = ORACLES["amount_change_history"]
 ORACLES["date_spine"] = shaped("", """
 SELECT CAST(m AS DATE) AS effective_date, CAST(m AS DATE) AS effective_month, last_day(CAST(m AS DATE)) AS month_end_date
 FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)),
@@ -311,6 +320,31 @@ ORACLES["batches_with_gaps"] = shaped(RECORDS, """
 SELECT CAST(record_id AS VARCHAR) AS record_id, updated_at, 'records' AS origin FROM records
 UNION ALL SELECT * FROM (VALUES ('b1', NULL, 'completed false'), ('b2', NULL, 'completed true'), ('b3', NULL, 'failed false'),
                                 ('b4', NULL, 'completed false'))""", "updated_at")
+HALF = "CAST(record_id AS BIGINT) <= (SELECT max(CAST(record_id AS BIGINT)) // 2 FROM records)"
+ORACLES["load_records"] = shaped(RECORDS + f""",
+copies AS (
+  SELECT record_id, updated_at FROM records
+  UNION ALL SELECT record_id, updated_at + INTERVAL 1 HOUR FROM records WHERE product_name IS NULL),
+loaded AS (
+  SELECT record_id, updated_at, 'b1' AS batch_id FROM records WHERE {HALF}
+  UNION ALL
+  SELECT record_id, max(updated_at), 'b3' FROM copies
+  WHERE updated_at > (SELECT max(updated_at) FROM records WHERE {HALF}) GROUP BY record_id)""", """
+SELECT l.record_id, l.updated_at, batch_id,
+       CAST(greatest(n_contacts, 1) * greatest(n_skills, 1) * greatest(n_hobbies, 1) AS BIGINT) AS n_rows
+FROM loaded l JOIN records r USING (record_id)""", "updated_at")
+ORACLES["load_routed"] = shaped(RECORDS + f""",
+sent AS (
+  SELECT 'table1' AS target_table, record_id, updated_at FROM records WHERE name IS NOT NULL
+  UNION ALL SELECT 'table2', record_id, updated_at FROM records WHERE product_name IS NOT NULL),
+first AS (SELECT target_table, max(updated_at) AS mark FROM sent WHERE {HALF} GROUP BY target_table),
+loaded AS (
+  SELECT target_table, updated_at, 'b1' AS batch_id FROM sent WHERE {HALF}
+  UNION ALL SELECT target_table, updated_at, 'b3' FROM sent JOIN first USING (target_table) WHERE updated_at > mark)""", """
+SELECT target_table, batch_id, 'completed' AS status, max(updated_at) AS watermark, count(*) AS n_logged, count(*) AS n_stored
+FROM loaded GROUP BY target_table, batch_id
+UNION ALL SELECT * FROM (VALUES ('table1', 'b2', 'failed', NULL, -1, -1), ('table2', 'b2', 'failed', NULL, -1, -1))
+""", "watermark")
 ORACLES["constant_left_join"] = shaped(RECORDS, """
 SELECT record_id, updated_at, mark AS last_extraction_time, target_table
 FROM records, (VALUES ('table1', TIMESTAMP '2024-01-01 04:00:00'), ('table3', NULL)) m(target_table, mark)
@@ -543,3 +577,7 @@ FROM (SELECT t.* FROM timeline t ANTI JOIN day2 d USING (contract_id, territory_
 GROUP BY territory_id""", double="amount")
 ORACLES["sample_limit"] = """
 SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_from_table FROM lineitem"""
+ORACLES["kmeans_facts"] = """
+SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest, CAST(10 AS BIGINT) AS n_top,
+       CAST(0 AS BIGINT) AS n_farther
+FROM lineitem"""

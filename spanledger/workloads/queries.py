@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from spanledger.functions import dates, keys
 from spanledger.operators import consolidate, flatten, identifiers, incremental, marts, profiling, quality, reports, scd2
-from spanledger.operators.anomalies import kmeans_anomalies
-from spanledger.plans import batch, contract_load
+from spanledger.operators.anomalies import kmeans_anomalies, kmeans_distances
+from spanledger.plans import batch, contract_load, record_load
 from spanledger.plans.profiling_run import data_profiling
 from spanledger.schemas import CONTRACT_COLUMNS, CONTRACT_KEY, CONTROL_LOG, FLATTENED_RECORDS, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 from spanledger.sources import ddl, readers, writers
@@ -67,6 +67,18 @@ def consolidate_islands(spark, sf_dir):
     return consolidate.consolidate_ranges(views.contracts(spark, sf_dir), mode="islands")
 
 
+@query
+def consolidate_by_marks(spark, sf_dir):
+    """The form for many large groups: nothing is gathered."""
+    return consolidate.consolidate_ranges(views.contracts(spark, sf_dir), small_group_rows=0, listed_groups=0)
+
+
+@query
+def consolidate_mixed_groups(spark, sf_dir):
+    """Single rows gathered, all other groups decided by calendar marks."""
+    return consolidate.consolidate_ranges(views.contracts(spark, sf_dir), small_group_rows=1, listed_groups=10**9)
+
+
 @query
 def consolidation_impact(spark, sf_dir):
     staged = views.contracts(spark, sf_dir)
@@ -140,6 +152,22 @@ def scd2_dbt_v1(spark, sf_dir):
     return _load(spark, sf_dir, "dbt_v1")
 
 
+@query
+def scd2_final_parity(spark, sf_dir):
+    return _load(spark, sf_dir, "final_parity")
+
+
+@query
+def scd2_gapped_feed(spark, sf_dir):
+    """The same feed on three days, with gaps and closed rows of other amounts: nothing may change."""
+    rows = views.timeline(spark, sf_dir).filter((F.col(TO_DATE) == dates.date_lit(OPEN_END)) | (F.dayofmonth(FROM_DATE) % 5 != 0))
+    staged = durable(rows, "staged")
+    loaded = contract_load.daily_load(staged, None, None, RUN_DATE)
+    for day in ("2002-01-01", "2002-01-02", "2002-01-03"):
+        loaded = contract_load.daily_load(staged, loaded.id_map, durable(loaded.final, "final"), day, "dbt_final")
+    return loaded.final
+
+
 @query
 def scd2_dbt_final(spark, sf_dir):
     """The feed arrives in fragments and is consolidated before the load."""
@@ -226,6 +254,12 @@ def amount_change_history(spark, sf_dir):
     return reports.change_history(views.history(spark, sf_dir))
 
 
+@query
+def change_history_hot(spark, sf_dir):
+    """The form for contracts with very many versions: no window over a contract."""
+    return reports.change_history(views.history(spark, sf_dir), hot_limit=1)
+
+
 @query
 def date_spine(spark, sf_dir):
     """All months from the first order to three months after the last one."""
@@ -235,20 +269,24 @@ def date_spine(spark, sf_dir):
     return marts.spine_from_bounds(bounds, "s", "e")
 
 
-FACT_SPAN = ("1995-01-01", "2002-03-31")
+def _fact_span(spark, sf_dir):
+    """First and last day of the months from the first order to three months after the last one."""
+    day = F.to_date("o_orderdate")
+    return tuple(_table(spark, sf_dir, "orders").agg(
+        F.trunc(F.min(day), "month").cast("string"), F.last_day(F.add_months(F.max(day), 3)).cast("string")).first())
 
 
 @query
 def fct_contract_metrics(spark, sf_dir):
     final = durable(views.history(spark, sf_dir), "final")
-    facts = marts.fct_contract_metrics(final, views.territory_reference(spark), *FACT_SPAN)
+    facts = marts.fct_contract_metrics(final, views.territory_reference(spark), *_fact_span(spark, sf_dir))
     # Cut, not rounded: exact in any engine, also for averages ending in a tie.
     return facts.withColumn("avg_amount", F.floor("avg_amount", F.lit(6)))
 
 
 @query
 def contracts_by_month(spark, sf_dir):
-    return marts.contracts_by_month(views.history(spark, sf_dir), *FACT_SPAN)
+    return marts.contracts_by_month(views.history(spark, sf_dir), *_fact_span(spark, sf_dir))
 
 
 @query
@@ -322,6 +360,55 @@ def batches_with_gaps(spark, sf_dir):
         logged.withColumnRenamed("batch_id", "record_id"))
 
 
+def _unreadable(records):
+    return records.withColumn("json_field", F.raise_error(F.lit("unreadable document")).cast("string"))
+
+
+def _first_half(records):
+    number = F.col("record_id").cast("bigint")
+    return records.filter(number <= records.select(F.floor(F.max(number) / 2)).scalar())
+
+
+@query
+def load_records(spark, sf_dir):
+    """Two loads, a failing one in between; by the second, some records have come again."""
+    target, log = fresh_path(spark, "records"), fresh_path(spark, "control")
+    records = views.json_records(spark, sf_dir)
+
+    def load(source, batch_id):
+        return record_load.load_records(source, target, log, RECORD_RUN_TS, lookback=(1, "year"), batch_id=batch_id)
+
+    load(_first_half(records), "b1")
+    try:
+        load(_unreadable(records), "b2")
+    except Exception as error:  # meant to fail
+        assert "unreadable document" in str(error)
+    load(views.json_records_resent(spark, sf_dir), "b3")
+    return spark.read.parquet(target).groupBy("record_id", "updated_at", "batch_id").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def load_routed(spark, sf_dir):
+    """The log after two loads of both targets, a failing one in between: each target has its own mark."""
+    root, log = fresh_path(spark, "routed"), fresh_path(spark, "control")
+    records = views.json_records(spark, sf_dir)
+
+    def load(source, batch_id):
+        return record_load.load_routed(source, root, log, RECORD_RUN_TS, lookback=(1, "year"), batch_id=batch_id)
+
+    load(_first_half(records), "b1")
+    try:
+        load(_unreadable(records), "b2")
+    except Exception as error:  # meant to fail
+        assert "unreadable document" in str(error)
+    load(records, "b3")
+    stored = [spark.read.parquet(f"{root}/{t}").select(F.lit(t).alias("target_table"), "batch_id") for t in ("table1", "table2")]
+    counts = stored[0].unionByName(stored[1]).groupBy("target_table", "batch_id").agg(F.count("*").alias("n_stored"))
+    return batch.read_control(spark, log).join(counts, ["target_table", "batch_id"], "left").select(
+        "target_table", "batch_id", "status", "watermark",
+        F.coalesce("processed_record_count", F.lit(-1)).alias("n_logged"), F.coalesce("n_stored", F.lit(-1)).alias("n_stored"))
+
+
 @query
 def constant_left_join(spark, sf_dir):
     source = views.json_records(spark, sf_dir).select("record_id", "updated_at")
@@ -530,6 +617,20 @@ def kmeans_anomalies_top(spark, sf_dir):
         _table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], carry=["l_orderkey", "l_linenumber"])
 
 
+@query
+def kmeans_facts(spark, sf_dir):
+    """What must hold of any k-means result: all rows labelled with their nearest centre, the top rows farthest."""
+    lineitem, columns, carry = _table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], ["l_orderkey", "l_linenumber"]
+    rows = durable(kmeans_distances(lineitem, columns, carry=carry), "distances")
+    top = durable(kmeans_anomalies(lineitem, columns, carry=carry), "anomalies")
+    least = top.select(F.min("distance")).scalar()
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.count_distinct("cluster_label").alias("n_clusters"),
+        F.count_if(F.col("distance") > F.col("nearest_distance") + 1e-9).alias("n_not_nearest"),
+        top.select(F.count("*")).scalar().alias("n_top"),
+        F.greatest(F.count_if(F.col("distance") > least + 1e-9) - 9, F.lit(0)).alias("n_farther"))
+
+
 # --- data quality -------------------------------------------------------------------------
 
 @query
