@@ -17,7 +17,7 @@ from spanledger.workloads.queries import QUERIES
 
 HEADLINE = [
     "consolidate_all_or_nothing", "consolidate_islands", "assign_ids_initial", "assign_ids_incremental",
-    "scd2_merge", "scd2_dbt_final", "dim_contracts", "amount_change_history", "fct_contract_metrics",
+    "consolidate_by_marks", "change_history_hot", "scd2_merge", "scd2_dbt_final", "dim_contracts", "amount_change_history", "fct_contract_metrics",
     "flatten_json", "flatten_json_deduplicated", "route_tagged", "dedup_latest",
     "profile_basic", "profile_stats", "correlation_matrix", "iqr_outliers", "upsert_by_key",
 ]

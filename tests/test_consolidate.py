@@ -97,9 +97,16 @@ def test_random_groups_against_the_rule(spark, data):
 
 
 @pytest.mark.parametrize("pairs,strict,islands", CASES)
-def test_known_cases_by_marks(spark, monkeypatch, pairs, strict, islands):
-    monkeypatch.setattr(consolidate, "LISTED_GROUPS", 0)
-    assert spans(consolidate_ranges(ranges(spark, pairs), small_group_rows=0)) == sorted(strict)
+def test_known_cases_by_marks(spark, pairs, strict, islands):
+    assert spans(consolidate_ranges(ranges(spark, pairs), small_group_rows=0, listed_groups=0)) == sorted(strict)
+
+
+def test_long_keys_are_not_listed(spark, monkeypatch):
+    """Keys with more bytes than may be handed to all executors: all groups go the way of large ones."""
+    monkeypatch.setattr(consolidate, "LISTED_BYTES", 0)
+    pairs, strict, _ = CASES[0]
+    out = consolidate_ranges(ranges(spark, pairs), small_group_rows=0)
+    assert spans(out) == sorted(strict)
 
 
 @pytest.mark.parametrize("small", [100, 0])

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from conftest import SF_DIR, final_plan, rows
 from pyspark.sql import functions as F
@@ -161,3 +163,19 @@ def test_manual_log_row(spark):
     assert len(ids) == 3
     log_batch(spark, log, "b", "2024-01-01 00:00:00", "2024-01-01 01:00:00", "completed", 5, target="t")
     assert read_control(spark, log).select("target_table", "processed_record_count").first() == ("t", 5)
+
+
+def test_a_failing_target_does_not_stop_the_others(spark, tmp_path):
+    from spanledger.operators.flatten import Route
+    from spanledger.plans.record_load import load_routed
+
+    source = spark.createDataFrame([("r1", dt.datetime(2024, 1, 1), '{"name": "Al"}')], "record_id string, updated_at timestamp, json_field string")
+    blocked = tmp_path / "out" / "bad"
+    blocked.parent.mkdir()
+    blocked.write_text("a file where the target's folder should be")
+    rules = [Route("bad", "$.name", {"name": "$.name"}), Route("good", "$.name", {"name": "$.name"})]
+    with pytest.raises(Exception):
+        load_routed(source, str(tmp_path / "out"), str(tmp_path / "log"), "2024-01-02 00:00:00", rules, (1, "year"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert {(r.target_table, r.status) for r in log.collect()} == {("bad", "failed"), ("good", "completed")}
+    assert [r.name for r in spark.read.parquet(str(tmp_path / "out" / "good")).collect()] == ["Al"]
