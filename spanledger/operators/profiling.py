@@ -13,7 +13,10 @@ from spanledger.functions.compare import any_of
 from spanledger.sources.scratch import durable
 
 QUARTILES = (0.25, 0.5, 0.75)
+BOUNDARIES = (0.0, *QUARTILES, 1.0)
 SKETCH_ACCURACY = 10_000
+WIDE_COLUMNS = 100  # columns of one aggregate pass
+WIDE_PAIRS = 500  # column pairs of one aggregate pass
 _WITH_EXTREMES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -44,7 +47,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _castable_columns(df: DataFrame) -> list[str]:
+def castable_columns(df: DataFrame) -> list[str]:
     ok = (T.NumericType, T.StringType)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, ok)]
 
@@ -61,33 +64,39 @@ def profile_columns(
     distinct: str = "exact",
     quantiles: str = "approx",
     chunk: int | None = 4,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """One row per column: type, counts, extremes and, with ``stats``, moments.
 
-    Counts, extremes, moments and sketches of all columns come from one aggregate
-    pass. Exact distinct counts are kept apart from it: Spark repeats each row once
+    With ``stats`` text columns have extremes too, in byte order, and every column
+    that reads as numbers has those of the numbers (``min_number``, ``max_number``).
+    Counts, extremes, moments and sketches come from one aggregate pass for each
+    ``WIDE_COLUMNS`` columns. Exact distinct counts are kept apart from it: Spark repeats each row once
     per distinct column of an aggregate, with all of them in the key. So ``chunk``
     columns share one such aggregate, which on a columnar table reads just these
     columns; ``chunk=None`` reads a costly derived input once. With
     ``distinct="approx"`` fixed-size sketches in the first pass replace all that.
     Quartiles come from a sketch (rank error 1/10,000) or, with
-    ``quantiles="exact"``, from :func:`exact_quantiles`.
+    ``quantiles="exact"``, from :func:`exact_quantiles`, or from ``found`` where
+    such a result exists already.
     """
     if distinct not in ("exact", "approx") or quantiles not in ("exact", "approx"):
         raise ValueError("distinct and quantiles must be 'exact' or 'approx'")
     names = list(columns or df.columns)
-    castable = [c for c in names if c in _castable_columns(df)]
+    castable = [c for c in names if c in castable_columns(df)]
     exact_quartiles = stats and quantiles == "exact" and bool(castable)
-    out = _column_facts(df, names, stats, distinct == "approx", stats and not exact_quartiles)
+    out = reduce(lambda x, y: x.unionByName(y), [
+        _column_facts(df, some, stats, distinct == "approx", stats and not exact_quartiles)
+        for some in _column_chunks(names, WIDE_COLUMNS)])
     # One row per column on either side of these joins.
     if distinct == "exact":
         out = out.join(F.broadcast(_distinct_counts(df, names, chunk)), "column_name")
     if exact_quartiles:
-        out = out.join(F.broadcast(quartile_columns(df, castable)), "column_name", "left")
+        out = out.join(F.broadcast(quartile_columns(df, castable, found=found)), "column_name", "left")
     shown = ["column_name", "data_type", "total_count", "distinct_count", "null_count", "min_value", "max_value"]
     picked = [F.col(c) for c in shown]
     if stats:
-        picked += [F.col("avg_value"), F.col("stddev_value"), F.col("q2").alias("median_value"),
+        picked += [F.col("min_number"), F.col("max_number"), F.col("avg_value"), F.col("stddev_value"), F.col("q2").alias("median_value"),
                    F.col("q1"), F.col("q2"), F.col("q3")]
     return out.select(*picked).orderBy("column_name")
 
@@ -106,7 +115,7 @@ def _column_facts(
     df: DataFrame, names: list[str], stats: bool, sketch_distinct: bool, sketch_quartiles: bool
 ) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
-    castable = [c for c in names if c in _castable_columns(df)] if stats else []
+    castable = [c for c in names if c in castable_columns(df)] if stats else []
     numbers = {c: f"_number_{i}" for i, c in enumerate(castable)}
     if numbers:
         df = df.select(*[_ref(c) for c in names], *[as_double(df, c).alias(n) for c, n in numbers.items()])
@@ -127,14 +136,16 @@ def _column_facts(
             "min_value": F.lit(None).cast("string"),
             "max_value": F.lit(None).cast("string"),
         }
-        if isinstance(types[name], _WITH_EXTREMES):
+        if isinstance(types[name], _WITH_EXTREMES) or stats and isinstance(types[name], T.StringType):
             cells["min_value"] = measured(F.min(value).cast("string"), f"lo{i}")
             cells["max_value"] = measured(F.max(value).cast("string"), f"hi{i}")
         if sketch_distinct:
             cells["distinct_count"] = measured(F.approx_count_distinct(value), f"d{i}")
         if stats:
-            cells |= dict.fromkeys(("avg_value", "stddev_value"), F.lit(None).cast("double"))
+            cells |= dict.fromkeys(("min_number", "max_number", "avg_value", "stddev_value"), F.lit(None).cast("double"))
             if number:
+                cells["min_number"] = measured(F.min(number), f"ln{i}")
+                cells["max_number"] = measured(F.max(number), f"hn{i}")
                 cells["avg_value"] = measured(F.avg(number), f"a{i}")
                 cells["stddev_value"] = measured(F.stddev_samp(number), f"s{i}")
         if sketch_quartiles:
@@ -212,19 +223,30 @@ def sketch_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Seque
     return sketches.select(F.inline(F.array(*rows))).filter(F.col("value").isNotNull())
 
 
-def quartile_boundaries(df: DataFrame, columns: Sequence[str], quantiles: str = "approx") -> DataFrame:
+def _quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], quantiles: str, found: DataFrame | None
+) -> DataFrame:
+    """The wanted part of ``found``, or a new result of the given kind."""
+    if found is not None:
+        return found.filter(F.col("column_name").isin(list(columns)) & F.col("probability").isin(list(probabilities)))
+    return (exact_quantiles if quantiles == "exact" else sketch_quantiles)(df, columns, probabilities)
+
+
+def quartile_boundaries(
+    df: DataFrame, columns: Sequence[str], quantiles: str = "approx", found: DataFrame | None = None
+) -> DataFrame:
     """(column_name, quartiles): the five boundaries from minimum to maximum."""
-    probs = (0.0, *QUARTILES, 1.0)
-    long = (exact_quantiles if quantiles == "exact" else sketch_quantiles)(df, columns, probs)
+    long = _quantiles(df, columns, BOUNDARIES, quantiles, found)
     # Five entries per column.
     ordered = F.array_sort(F.collect_list(F.struct("probability", "value")))
     return long.groupBy("column_name").agg(F.transform(ordered, lambda x: x["value"]).alias("quartiles"))
 
 
-def quartile_columns(df: DataFrame, columns: Sequence[str], quantiles: str = "exact") -> DataFrame:
+def quartile_columns(
+    df: DataFrame, columns: Sequence[str], quantiles: str = "exact", found: DataFrame | None = None
+) -> DataFrame:
     """(column_name, q1, q2, q3): one row per column that has values."""
-    find = exact_quantiles if quantiles == "exact" else sketch_quantiles
-    long = find(df, columns, QUARTILES)
+    long = _quantiles(df, columns, QUARTILES, quantiles, found)
     return long.groupBy("column_name").agg(*[
         F.max(F.when(F.col("probability") == p, F.col("value"))).alias(f"q{i + 1}") for i, p in enumerate(QUARTILES)])
 
@@ -235,13 +257,14 @@ def iqr_outliers(
     k: float = 1.5,
     carry: Sequence[str] = (),
     quantiles: str = "approx",
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """Every value outside [Q1 - k IQR, Q3 + k IQR], with its row's ``carry`` columns.
 
     The bounds are one small map (an entry per column) held as a scalar. Rows are
     tested in place, and only those with an outlier are turned into output rows.
     """
-    quartiles = quartile_columns(df, columns, quantiles)
+    quartiles = quartile_columns(df, columns, quantiles, found)
     spread = F.lit(float(k)) * (F.col("q3") - F.col("q1"))
     bound = F.struct((F.col("q1") - spread).alias("lower_bound"), (F.col("q3") + spread).alias("upper_bound"))
     entries = F.map_from_entries(F.collect_list(F.struct("column_name", bound)))
@@ -258,19 +281,24 @@ def iqr_outliers(
                  limits[c][0].alias("lower_bound"), limits[c][1].alias("upper_bound"))
         for c in columns
     ])
-    found = with_any.select(*carry, F.inline(cells))
-    return found.filter(outside(F.col("value"), F.col("lower_bound"), F.col("upper_bound")))
+    listed = with_any.select(*carry, F.inline(cells))
+    return listed.filter(outside(F.col("value"), F.col("lower_bound"), F.col("upper_bound")))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each column pair over rows where both are present."""
+    """Pearson correlation of each column pair over rows where both are present.
+
+    One aggregate pass for each ``WIDE_PAIRS`` pairs, which reads their columns only.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    scores = with_numbers(df, columns).agg(*[F.corr(_ref(a), _ref(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(f"c{i}").alias("correlation_score"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return scores.select(F.inline(F.array(*rows)))
+    parts = []
+    for at in range(0, max(len(pairs), 1), WIDE_PAIRS):
+        some = pairs[at: at + WIDE_PAIRS]
+        scores = with_numbers(df, columns).agg(*[F.corr(_ref(a), _ref(b)).alias(f"c{i}") for i, (a, b) in enumerate(some)])
+        parts.append(scores.select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(f"c{i}").alias("correlation_score"))
+            for i, (a, b) in enumerate(some)]))))
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
 def _log_plus_one(number: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from spanledger.operators import profiling
 from spanledger.operators.anomalies import kmeans_anomalies
+from spanledger.sources.scratch import durable
 
 
 def data_profiling(
@@ -18,14 +19,22 @@ def data_profiling(
     clusters: int | None = None,
     carry: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """Named result frames; nothing runs until one of them is used, except that
-    ``clusters`` trains a k-means model."""
+    """Named result frames, which run when they are used.
+
+    Two things run at the call: ``quantiles="exact"`` finds the boundaries of all
+    columns once and stores these few rows for summary, quartiles and outliers;
+    ``clusters`` trains a k-means model.
+    """
     numeric = [c for c in (columns or df.columns) if c in profiling.numeric_columns(df)]
-    out = {"column_summary": profiling.profile_columns(df, columns, True, distinct, quantiles)}
+    castable = [c for c in (columns or df.columns) if c in profiling.castable_columns(df)]
+    found = None
+    if quantiles == "exact" and castable:
+        found = durable(profiling.exact_quantiles(df, castable, profiling.BOUNDARIES), "boundaries")
+    out = {"column_summary": profiling.profile_columns(df, columns, True, distinct, quantiles, found=found)}
     if numeric:
         out |= {
-            "quartiles": profiling.quartile_boundaries(df, numeric, quantiles),
-            "outliers": profiling.iqr_outliers(df, numeric, carry=carry, quantiles=quantiles),
+            "quartiles": profiling.quartile_boundaries(df, numeric, quantiles, found),
+            "outliers": profiling.iqr_outliers(df, numeric, carry=carry, quantiles=quantiles, found=found),
             "skewness": profiling.skewness_summary(df, numeric),
             "log_values": profiling.log_transform(df, numeric),
         }

@@ -407,13 +407,14 @@ def _profile(table: str, columns: dict[str, str], stats: bool = False) -> str:
     parts = []
     for name, data_type in columns.items():
         low = high = "CAST(NULL AS VARCHAR)"
-        if data_type != "string":
+        if data_type != "string" or stats:
             low, high = f"CAST(min({name}) AS VARCHAR)", f"CAST(max({name}) AS VARCHAR)"
         part = (f"SELECT '{name}' AS column_name, '{data_type}' AS data_type, count(*) AS total_count, "
                 f"count(DISTINCT {name}) AS distinct_count, count(*) - count({name}) AS null_count, "
                 f"{low} AS min_value, {high} AS max_value")
         if stats:
             x = f"TRY_CAST({name} AS DOUBLE)"
+            part += f", round(min({x}), 4) AS min_number, round(max({x}), 4) AS max_number"
             part += f", round(avg({x}), 4) AS avg_value, round(stddev_samp({x}), 4) AS stddev_value"
             for alias, q in (("median_value", 0.5), ("q1", 0.25), ("q2", 0.5), ("q3", 0.75)):
                 part += f", round(quantile_cont({x}, {q}), 4) AS {alias}"
@@ -430,14 +431,26 @@ ORACLES["profile_nulls"] = """
 WITH e AS (SELECT event_id, nullif(event_type, 'error') AS event_type,
                   nullif(CAST(floor(value) AS BIGINT), 1) AS whole, CAST(user_id AS VARCHAR) AS user_text FROM events)
 """ + _profile("e", {"event_id": "bigint", "event_type": "string", "whole": "bigint", "user_text": "string"})
+# A date reads as no number.
+ORACLES["data_profiling_summary"] = """
+WITH l AS (SELECT * FROM lineitem)
+""" + _profile("l", {"l_quantity": "double", "l_discount": "double", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
+               stats=True)
 ORACLES["profile_stats"] = """
 WITH l AS (SELECT *, CAST(l_partkey AS VARCHAR) AS part_text FROM lineitem)
 """ + _profile("l", {**dict.fromkeys(MEASURES, "double"), "l_linenumber": "int", "l_returnflag": "string",
                      "part_text": "string"}, stats=True)
-ORACLES["quartile_boundaries"] = "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, " + ", ".join(
-        f"round(quantile_cont({c}, {q}), 4) AS b{i}" for i, q in enumerate((0.0, 0.25, 0.5, 0.75, 1.0))) + " FROM lineitem"
-    for c in MEASURES)
+
+
+def _boundaries(columns: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, " + ", ".join(
+            f"round(quantile_cont({c}, {q}), 4) AS b{i}" for i, q in enumerate((0.0, 0.25, 0.5, 0.75, 1.0))) + " FROM lineitem"
+        for c in columns)
+
+
+ORACLES["quartile_boundaries"] = _boundaries(MEASURES)
+ORACLES["data_profiling_quartiles"] = _boundaries(["l_quantity", "l_discount"])
 ORACLES["iqr_outliers"] = """
 WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM events)
 SELECT event_id, 'value' AS column_name, round(value, 4) AS value, round(a - 1.5 * (b - a), 4) AS lower_bound,
@@ -468,6 +481,12 @@ SELECT '{c}' AS column_name, count(*) AS total_records, round({_moment_skew('x')
        round({_moment_skew('y')}, 4) AS log_skewness
 FROM (SELECT {c} AS x, ln({c} + 1) AS y FROM lineitem),
      (SELECT avg({c}) AS m_x, avg(ln({c} + 1)) AS m_y FROM lineitem)""" for c in MEASURES)
+ORACLES["data_profiling_pairs"] = """
+SELECT 'l_quantity' AS col1, 'l_discount' AS col2, round(corr(l_quantity, l_discount), 6) AS correlation_score,
+       CAST(NULL AS DOUBLE) AS skewness FROM lineitem""" + "".join(f"""
+UNION ALL
+SELECT '{c}', '', NULL, round({_moment_skew('x')}, 4)
+FROM (SELECT {c} AS x FROM lineitem), (SELECT avg({c}) AS m_x FROM lineitem)""" for c in ("l_quantity", "l_discount"))
 ORACLES["log_transform"] = """
 SELECT event_id, round(value - 3, 6) AS value,
        round(CASE WHEN value - 3 > -1 THEN ln(value - 3 + 1) END, 6) AS value_log FROM events"""

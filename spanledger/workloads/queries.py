@@ -595,6 +595,35 @@ def data_profiling_outliers(spark, sf_dir):
     return found.withColumns({c: F.round(c, 4) for c in ("lower_bound", "upper_bound")})
 
 
+def _whole_profile(spark, sf_dir):
+    """Number, text and date columns of the order lines, with exact quantiles."""
+    columns = ["l_quantity", "l_discount", "l_linestatus", "l_shipdate"]
+    return data_profiling(_table(spark, sf_dir, "lineitem"), columns, quantiles="exact", carry=["l_orderkey", "l_linenumber"])
+
+
+@query
+def data_profiling_summary(spark, sf_dir):
+    return _rounded(_whole_profile(spark, sf_dir)["column_summary"])
+
+
+@query
+def data_profiling_quartiles(spark, sf_dir):
+    bounds = _whole_profile(spark, sf_dir)["quartiles"]
+    return _rounded(bounds.select("column_name", *[F.get("quartiles", F.lit(i)).alias(f"b{i}") for i in range(5)]))
+
+
+@query
+def data_profiling_pairs(spark, sf_dir):
+    """The correlation and the skewness part."""
+    out = _whole_profile(spark, sf_dir)
+    nothing = F.lit(None).cast("double")
+    pairs = out["correlation"].select(
+        "col1", "col2", F.round("correlation_score", 6).alias("correlation_score"), nothing.alias("skewness"))
+    return pairs.unionByName(out["skewness"].select(
+        F.col("column_name").alias("col1"), F.lit("").alias("col2"), nothing.alias("correlation_score"),
+        F.round("skewness", 4).alias("skewness")))
+
+
 @query
 def correlation_matrix(spark, sf_dir):
     return _rounded(profiling.correlation_matrix(_table(spark, sf_dir, "lineitem"), MEASURES), 6)

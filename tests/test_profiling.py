@@ -74,7 +74,9 @@ def test_profile(df, data, options):
     if "distinct" not in options:
         assert found["y"].distinct_count == len(set(y)) and found["t"].distinct_count == 7
     assert found["y"].avg_value == pytest.approx(y.mean()) and found["y"].stddev_value == pytest.approx(y.std(ddof=1))
-    assert float(found["y"].min_value) == y.min() and found["t"].min_value is None
+    assert float(found["y"].min_value) == y.min()
+    assert (found["t"].min_value, found["t"].max_value) == ("", "n/a")
+    assert (found["t"].min_number, found["t"].max_number) == (-100.0, 12.0) and found["y"].max_number == y.max()
     assert (found["e"].distinct_count, found["e"].null_count, found["e"].avg_value) == (0, 900, None)
     assert found["id"].data_type == "bigint" and found["id"].max_value == "899"
     if options.get("quantiles") == "exact":
