@@ -27,11 +27,17 @@ def _verdict_struct(check: str, subject: str, failures: Column, severity: str) -
         F.when(count == 0, "pass").otherwise(severity).alias("status"), F.lit(severity).alias("severity"))
 
 
+def row_checks(df: DataFrame, checks: Sequence[tuple[str, str, Column, str]]) -> DataFrame:
+    """One verdict per (check name, subject, condition, severity), all from a single pass. A NULL condition fails."""
+    holds = [F.coalesce(condition, F.lit(False)) for _, _, condition, _ in checks]
+    counts = df.agg(*[F.count_if(~h).alias(f"n{i}") for i, h in enumerate(holds)])
+    rows = [_verdict_struct(check, subject, F.col(f"n{i}"), severity) for i, (check, subject, _, severity) in enumerate(checks)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def not_null(df: DataFrame, columns: Sequence[str], severity: str = "error") -> DataFrame:
     """One verdict per column from a single pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
-    rows = [_verdict_struct("not_null", c, F.col(f"n{i}"), severity) for i, c in enumerate(columns)]
-    return counts.select(F.inline(F.array(*rows)))
+    return row_checks(df, [("not_null", c, F.col(c).isNotNull(), severity) for c in columns])
 
 
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -54,10 +60,7 @@ def failing_rows(df: DataFrame, expression: str) -> DataFrame:
 def expression_is_true(df: DataFrame, expressions: Mapping[str, str] | str, severity: str = "error") -> DataFrame:
     """One verdict per named expression, all from a single pass."""
     named = {expressions: expressions} if isinstance(expressions, str) else dict(expressions)
-    holds = {n: F.coalesce(F.expr(e), F.lit(False)) for n, e in named.items()}
-    counts = df.agg(*[F.count_if(~h).alias(f"n{i}") for i, h in enumerate(holds.values())])
-    rows = [_verdict_struct("expression_is_true", n, F.col(f"n{i}"), severity) for i, n in enumerate(holds)]
-    return counts.select(F.inline(F.array(*rows)))
+    return row_checks(df, [("expression_is_true", n, F.expr(e), severity) for n, e in named.items()])
 
 
 def recency(

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_POINTER = "step bigint, version string"
+
 
 def append_rows(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
     """Append by column name; the column list fixes the stored order."""
@@ -61,17 +64,42 @@ def write_sample(df: DataFrame, path: str, n: int = 100) -> None:
 
 
 def publish_snapshot(df: DataFrame, root: str, version: str, view: str) -> str:
-    """Write a rewritten table beside the old one, then switch the view to it.
+    """Write a rewritten table beside the old one, then switch pointer and view to it.
 
-    The rows being read are never overwritten, and a failed write leaves the view
-    on the previous version.
+    The rows being read are never overwritten, and a failed write leaves pointer
+    and view on the previous version. The pointer is a small table beside the
+    versions, so that any later session finds the current one (`read_snapshot`).
     """
-    path = f"{root.rstrip('/')}/version={version}"
+    spark, path = df.sparkSession, f"{root.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(path)
-    df.sparkSession.read.parquet(path).createOrReplaceTempView(view)
+    step = 1 + (_pointers(spark, root).agg(F.max("step")).first()[0] or 0)
+    spark.createDataFrame([(step, version)], _POINTER).write.mode("append").parquet(_pointer_path(root))
+    spark.read.parquet(path).createOrReplaceTempView(view)
     return path
 
 
+def _pointer_path(root: str) -> str:
+    return f"{root.rstrip('/')}/published"
+
+
+def _pointers(spark: SparkSession, root: str) -> DataFrame:
+    """One row per publication, none before the first."""
+    try:
+        return spark.read.schema(_POINTER).parquet(_pointer_path(root))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _POINTER)
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """The version published last, from any session."""
+    newest = _pointers(spark, root).agg(F.max_by("version", "step")).first()[0]
+    if newest is None:
+        raise ValueError(f"nothing is published in {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/version={newest}")
+
+
 def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 

@@ -241,6 +241,9 @@ ORACLES["scd2_final_parity"] = shaped(
 ORACLES["scd2_gapped_feed"] = shaped(HISTORY, """
 SELECT * FROM history WHERE effective_to_date = DATE '9999-12-31' OR day(effective_from_date) % 5 <> 0""", DATES, "amount")
 ORACLES["dim_contracts"] = shaped(BOTH_DAYS, _dim("effective_from_date"), DATES, "amount")
+ORACLES["dim_contracts_other_open_end"] = shaped(BOTH_DAYS, f"""
+SELECT * REPLACE (CASE WHEN is_current THEN DATE '2999-12-31' ELSE effective_to_date END AS effective_to_date)
+FROM ({_dim("effective_from_date")})""", DATES, "amount")
 ORACLES["dim_contracts_staged_key"] = shaped(BOTH_DAYS, _dim("staged_from"), DATES, "amount")
 ORACLES["upsert_by_key"] = shaped(DAY2, """
 SELECT *, md5(contract_id || '-' || territory_id || '-' || CAST(effective_from_date AS VARCHAR)) AS contract_sk
@@ -545,6 +548,33 @@ ORACLES["dq_equal_rowcount"] = _verdicts(
     _verdict("equal_rowcount", "history", "SELECT 0"),
     _verdict("equal_rowcount", "feed",
              "SELECT abs((SELECT count(*) FROM timeline) - (SELECT count(*) FROM day2))", "warn"))
+
+
+def _suite(model: str, table: str, mandatory: str, others: list[tuple[str, str, str]]) -> list[str]:
+    every = [("not_null", c, f"SELECT count(*) FROM {table} WHERE {c} IS NULL") for c in mandatory.split()] + others
+    return [f"SELECT '{model}' AS model, *, '2001-12-31 06:00:00' AS checked_at FROM ({_verdict(*check)})" for check in every]
+
+
+_DISORDER = "SELECT count(*) FROM {} WHERE effective_from_date > effective_to_date"
+ORACLES["dq_contract_suite"] = _verdicts(
+    CONSOLIDATED + """,
+suite_ids AS (
+  SELECT contract_id, territory_id, dense_rank() OVER (ORDER BY contract_id, territory_id) AS contract_identifier
+  FROM consolidated GROUP BY contract_id, territory_id),
+suite_dim AS (
+  SELECT md5(contract_id || '-' || territory_id || '-' || CAST(effective_from_date AS VARCHAR)) AS contract_sk,
+         contract_identifier, contract_id, territory_id
+  FROM consolidated JOIN suite_ids USING (contract_id, territory_id))""",
+    *_suite("staged", "contracts", f"{GROUPING}, effective_from_date, effective_to_date".replace(",", ""),
+            [("not_null", "loaded_at", "SELECT 0"), ("expression_is_true", "range_in_order", _DISORDER.format("contracts"))]),
+    *_suite("consolidated", "consolidated", "contract_id territory_id effective_from_date effective_to_date",
+            [("not_null", "processed_at", "SELECT 0"), ("expression_is_true", "range_in_order", _DISORDER.format("consolidated")),
+             ("recency", "processed_at", "SELECT 0")]),
+    *_suite("identifiers", "suite_ids", "contract_id territory_id contract_identifier",
+            [("unique", "contract_identifier", _repeats("contract_identifier", "suite_ids")),
+             ("unique", "contract_id, territory_id", _repeats("contract_id, territory_id", "suite_ids"))]),
+    *_suite("dimension", "suite_dim", "contract_sk contract_identifier contract_id territory_id",
+            [("unique", "contract_sk", _repeats("contract_sk", "suite_dim")), ("expression_is_true", "current_is_open", "SELECT 0")]))
 ORACLES["dq_freshness"] = """
 SELECT strftime(m, '%Y-%m-%d %H:%M:%S') AS max_loaded_at,
        round((epoch_us(t) - epoch_us(m)) / 3.6e9, 4) AS age_hours,
@@ -594,6 +624,8 @@ SELECT territory_id, count(*) AS n_rows, sum(amount) AS amount
 FROM (SELECT t.* FROM timeline t ANTI JOIN day2 d USING (contract_id, territory_id, effective_from_date)
       UNION ALL SELECT * FROM day2)
 GROUP BY territory_id""", double="amount")
+ORACLES["table_by_name"] = shaped(CONTRACTS, """
+SELECT territory_id, count(*) AS n_rows, sum(amount) AS amount FROM contracts GROUP BY territory_id""", double="amount")
 ORACLES["sample_limit"] = """
 SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_from_table FROM lineitem"""
 ORACLES["kmeans_facts"] = """

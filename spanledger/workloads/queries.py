@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from spanledger.functions import dates, keys
 from spanledger.operators import consolidate, flatten, identifiers, incremental, marts, profiling, quality, reports, scd2
 from spanledger.operators.anomalies import kmeans_anomalies, kmeans_distances
-from spanledger.plans import batch, contract_load, record_load
+from spanledger.plans import batch, checks, contract_load, record_load
 from spanledger.plans.profiling_run import data_profiling
 from spanledger.schemas import CONTRACT_COLUMNS, CONTRACT_KEY, CONTROL_LOG, FLATTENED_RECORDS, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 from spanledger.sources import ddl, readers, writers
@@ -229,6 +229,19 @@ def active_contracts(spark, sf_dir):
     return spark.table("active_contracts")
 
 
+@query
+def dim_contracts_other_open_end(spark, sf_dir):
+    """The dimension of a warehouse that marks open rows by another date."""
+    other = "2999-12-31"
+    moved = {TO_DATE: F.when(F.col(TO_DATE) == dates.date_lit(OPEN_END), dates.date_lit(other)).otherwise(F.col(TO_DATE))}
+    day1 = durable(views.timeline(spark, sf_dir).withColumns(moved), "timeline")
+    id_map = durable(identifiers.assign_ids(day1), "id-map")
+    prior = durable(scd2.dim_contracts(day1, id_map, RUN_DATE, open_end=other), "dimension")
+    staged = durable(views.day2(spark, sf_dir).withColumns(moved), "staged")
+    new_map = durable(identifiers.assign_ids(staged, id_map), "id-map")
+    return scd2.dim_contracts(staged, new_map, RUN_DATE, prior, open_end=other)
+
+
 @query
 def contract_history_one(spark, sf_dir):
     return reports.contract_history(views.history(spark, sf_dir), 1, 101)
@@ -710,6 +723,17 @@ def dq_equal_rowcount(spark, sf_dir):
         quality.equal_rowcount(staged, views.day2(spark, sf_dir), "feed", "warn"))
 
 
+@query
+def dq_contract_suite(spark, sf_dir):
+    """All declared checks of the four contract models, stored and read back."""
+    staged = durable(consolidate.stage_contracts(views.contracts(spark, sf_dir), RUN_TS), "staged")
+    rows = staged.select(*CONTRACT_COLUMNS)
+    loaded = contract_load.build_dimension(rows, None, None, RUN_DATE, RUN_TS)
+    models = {"staged": staged, "consolidated": loaded.consolidated, "identifiers": loaded.id_map,
+              "dimension": durable(loaded.final, "dimension")}
+    return checks.check_and_store(models, RUN_TS, fresh_path(spark, "verdicts"))
+
+
 @query
 def dq_freshness(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
@@ -792,7 +816,15 @@ def snapshot_publish(spark, sf_dir):
     prior = spark.table("contracts_snapshot")
     merged = scd2.upsert_by_key(prior, views.day2(spark, sf_dir), [*CONTRACT_KEY, FROM_DATE])
     writers.publish_snapshot(merged, root, "day2", "contracts_snapshot")
-    return spark.table("contracts_snapshot").groupBy("territory_id").agg(
+    return writers.read_snapshot(spark, root).groupBy("territory_id").agg(
+        F.count("*").alias("n_rows"), F.sum("amount").alias("amount"))
+
+
+@query
+def table_by_name(spark, sf_dir):
+    """A relation read through the name it is registered under."""
+    writers.register_view(views.contracts(spark, sf_dir), "contracts_by_name")
+    return readers.read_table(spark, "contracts_by_name").groupBy("territory_id").agg(
         F.count("*").alias("n_rows"), F.sum("amount").alias("amount"))
 
 
