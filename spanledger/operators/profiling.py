@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ from spanledger.sources.scratch import durable
 QUARTILES = (0.25, 0.5, 0.75)
 BOUNDARIES = (0.0, *QUARTILES, 1.0)
 SKETCH_ACCURACY = 10_000
+BRACKET_SKETCH = 4096  # items a KLL sketch keeps on a level; its rank error is near 0.13 %
+BRACKET_MARGIN = 0.005  # share of the rows on either side of a wanted rank
+BRACKET_LEAST = 10_000  # values from which brackets pay
 WIDE_COLUMNS = 100  # columns of one aggregate pass
 WIDE_PAIRS = 500  # column pairs of one aggregate pass
 _WITH_EXTREMES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -157,50 +162,135 @@ def _column_facts(
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def _long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), as_double(df, c).alias("value")) for c in columns])
-    return df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+class _Bracket(NamedTuple):
+    """Values of a column between two bounds (None: no bound) and the ranks sought among them."""
+
+    column: str
+    low: float | None
+    high: float | None
+    probabilities: tuple[float, ...]
+
+    @property
+    def settled(self) -> bool:
+        return self.low is not None and self.low == self.high
+
+
+def _sketched_brackets(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> tuple[list[_Bracket], dict[str, int]]:
+    """Bounds that a wanted rank lies between by the error of a sketch, and the number of values per column.
+
+    Columns of few values have no bounds; the extremes are their own. NaN counts as the
+    largest value, which only a bracket without an upper bound holds.
+    """
+    edges = F.array(*[F.lit(min(max(p + side, 0.0), 1.0)) for p in probabilities for side in (-BRACKET_MARGIN, BRACKET_MARGIN)])
+    measures = [x for i, c in enumerate(columns) for x in (
+        F.count(_ref(c)).alias(f"n{i}"), F.min(_ref(c)).alias(f"lo{i}"), F.max(_ref(c)).alias(f"hi{i}"),
+        F.kll_sketch_agg_double(F.nanvl(_ref(c), F.lit(math.inf)), BRACKET_SKETCH).alias(f"s{i}"))]
+    sketched = with_numbers(df, columns).agg(*measures)
+    row = sketched.select(*[x for i in range(len(columns)) for x in (
+        f"n{i}", f"lo{i}", f"hi{i}", F.when(F.col(f"n{i}") >= BRACKET_LEAST, F.kll_sketch_get_quantile_double(f"s{i}", edges)).alias(f"q{i}"))]
+    ).first()
+    totals = {c: row[f"n{i}"] for i, c in enumerate(columns) if row[f"n{i}"]}
+    brackets: dict[tuple, list[float]] = {}
+    for i, c in enumerate(columns):
+        for j, p in enumerate(probabilities if c in totals else ()):
+            low, high = row[f"q{i}"][2 * j: 2 * j + 2] if row[f"q{i}"] else (None, None)
+            if p in (0.0, 1.0):
+                low = high = row[f"lo{i}" if p == 0.0 else f"hi{i}"]
+            low = None if 0.0 < p <= BRACKET_MARGIN else low
+            high = None if 1 - BRACKET_MARGIN <= p < 1.0 or high == math.inf else high
+            brackets.setdefault((c, low, high), []).append(p)
+    return [_Bracket(*bounds, tuple(ps)) for bounds, ps in brackets.items()], totals
+
+
+def _sides(p: float, total: int) -> tuple[tuple[str, int, float], tuple[str, int, float]]:
+    """The two ranks (from 0) that a quantile lies between, and its share of the way."""
+    position = p * (total - 1)
+    share = position - math.floor(position)
+    return ("lower", math.floor(position), share), ("upper", math.ceil(position), share)
+
+
+def _placed_brackets(df: DataFrame, brackets: list[_Bracket], totals: dict[str, int]) -> list[tuple[_Bracket, int]]:
+    """Each bracket with the number of values below it; one that misses its ranks loses its bounds."""
+    columns = list(dict.fromkeys(b.column for b in brackets))
+    counts = []
+    for i, b in enumerate(brackets):
+        below = F.lit(False) if b.low is None else _ref(b.column) < b.low
+        upto = _ref(b.column).isNotNull() if b.high is None else _ref(b.column) <= b.high
+        counts += [F.count_if(below).alias(f"b{i}"), F.count_if(upto).alias(f"u{i}")]
+    row = with_numbers(df, columns).agg(*counts).first()
+    out = []
+    for i, b in enumerate(brackets):
+        ranks = [rank for p in b.probabilities for _, rank, _ in _sides(p, totals[b.column])]
+        holds = row[f"b{i}"] <= min(ranks) and max(ranks) < row[f"u{i}"]
+        out.append((b, row[f"b{i}"]) if holds else (b._replace(low=None, high=None), 0))
+    return out
+
+
+def _within(b: _Bracket) -> Column:
+    inside = _ref(b.column).isNotNull()
+    if b.low is not None:
+        inside &= _ref(b.column) >= b.low
+    return inside if b.high is None else inside & (_ref(b.column) <= b.high)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """(column_name, probability, value) with linear interpolation between ranks.
 
-    Equal values are counted together first. The counted values are range-
-    partitioned and stored with their partition number, partition totals tell
-    which partition holds a wanted rank, and only those partitions are looked
-    into. No task ever sees more than one range partition.
+    A sketch brackets each wanted rank within a hundredth of the rows. A second scan
+    counts the values below and up to the brackets. Brackets of a single value are
+    settled by that. A third scan keeps the values inside the others, and only these
+    are shuffled: equal ones are counted together, range-partitioned and stored with
+    their partition number; partition totals tell which partition holds a wanted rank,
+    and only that one is looked into. ``df`` is read up to three times when this is
+    called and must give the same rows each time.
     """
-    counted = _long_values(df, columns).groupBy("column_name", "value").agg(F.count("*").alias("_n"))
-    order = ["column_name", "value"]
+    probabilities = list(dict.fromkeys(float(p) for p in probabilities))
+    parts = [_exact_quantiles(df, some, probabilities) for some in _column_chunks(columns, WIDE_COLUMNS)]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def _exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    spark = df.sparkSession
+    brackets, totals = _sketched_brackets(df, columns, probabilities)
+    if not brackets:
+        return spark.createDataFrame([], "column_name string, probability double, value double")
+    all_placed = _placed_brackets(df, brackets, totals)
+    settled = spark.createDataFrame(
+        [(b.column, p, float(b.low)) for b, _ in all_placed if b.settled for p in b.probabilities],
+        "column_name string, probability double, value double")
+    placed_brackets = [(b, below) for b, below in all_placed if not b.settled]
+    if not placed_brackets:
+        return settled
+    # At most two rows for each column and probability.
+    ranks = spark.createDataFrame(
+        [(i, b.column, p, side, rank - below, share) for i, (b, below) in enumerate(placed_brackets)
+         for p in b.probabilities for side, rank, share in _sides(p, totals[b.column])],
+        "_bracket int, column_name string, probability double, _side string, _rank bigint, _share double")
+    inside = [_within(b) for b, _ in placed_brackets]
+    values = F.array(*[
+        F.struct(F.lit(i).alias("_bracket"), F.when(ok, _ref(b.column)).alias("value"))
+        for i, ((b, _), ok) in enumerate(zip(placed_brackets, inside))])
+    read = list(dict.fromkeys(b.column for b, _ in placed_brackets))
+    kept = with_numbers(df, read).select(F.inline(values)).filter("value is not null")
+    counted = kept.groupBy("_bracket", "value").agg(F.count("*").alias("_n"))
+    order = ["_bracket", "value"]
     placed = durable(
         counted.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_block", F.spark_partition_id()), "quantiles")
 
-    # At most columns x partitions rows from here to `wanted`.
-    blocks = placed.groupBy("column_name", "_block").agg(F.sum("_n").alias("_rows"))
-    per_column = Window.partitionBy("column_name")
-    before = F.sum("_rows").over(per_column.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.select(
-        "column_name", "_block", "_rows",
-        F.coalesce(before, F.lit(0)).alias("_before"),
-        F.sum("_rows").over(per_column).alias("_total"),
-    )
-    ranks: list[Column] = []
-    for p in probabilities:
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        for side, rank in (("lower", F.floor(position)), ("upper", F.ceil(position))):
-            ranks.append(F.struct(
-                F.lit(float(p)).alias("probability"), F.lit(side).alias("_side"),
-                rank.cast("bigint").alias("_rank"), (position - F.floor(position)).alias("_share")))
-    wanted = blocks.select("column_name", "_block", "_before", "_rows", F.inline(F.array(*ranks))).filter(
+    # At most brackets x partitions rows from here to `wanted`.
+    blocks = placed.groupBy("_bracket", "_block").agg(F.sum("_n").alias("_rows"))
+    earlier = Window.partitionBy("_bracket").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    wanted = blocks.join(F.broadcast(ranks), "_bracket").filter(
         (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_rows")))
 
-    looked_into = F.broadcast(wanted.select("column_name", "_block", "_before").distinct())
-    inside = Window.partitionBy("column_name", "_block").orderBy("value").rowsBetween(
+    looked_into = F.broadcast(wanted.select("_bracket", "_block", "_before").distinct())
+    until = Window.partitionBy("_bracket", "_block").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    reached = placed.join(looked_into, ["column_name", "_block"]).withColumn(
-        "_until", F.col("_before") + F.sum("_n").over(inside))
-    hits = reached.drop("_before").join(F.broadcast(wanted), ["column_name", "_block"]).filter(
+    reached = placed.join(looked_into, ["_bracket", "_block"]).withColumn(
+        "_until", F.col("_before") + F.sum("_n").over(until))
+    hits = reached.drop("_before").join(F.broadcast(wanted), ["_bracket", "_block"]).filter(
         (F.col("_rank") < F.col("_until")) & (F.col("_rank") >= F.col("_until") - F.col("_n")))
     sides = hits.groupBy("column_name", "probability").agg(
         F.max(F.when(F.col("_side") == "lower", F.col("value"))).alias("_lower"),
@@ -208,7 +298,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         F.max("_share").alias("_share"),
     )
     value = F.col("_lower") + (F.col("_upper") - F.col("_lower")) * F.col("_share")
-    return sides.select("column_name", "probability", value.alias("value"))
+    return settled.unionByName(sides.select("column_name", "probability", value.alias("value")))
 
 
 def sketch_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:

@@ -50,6 +50,46 @@ def test_quantiles_of_one_row_and_none(spark):
     assert profiling.quartile_columns(one.limit(0), ["x"]).count() == 0
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """More values than go without brackets: spread, a few that repeat, one for a third of all, infinite ones and NaN."""
+    rng = np.random.default_rng(3)
+    n = 30_000
+    spread = rng.normal(0, 100, n)
+    few = rng.integers(0, 5, n).astype(float)
+    hot = np.where(np.arange(n) % 3 == 0, 1.5, spread)
+    odd = spread.copy()
+    odd[:6000], odd[6000:9000], odd[9000:12000] = np.nan, np.inf, -np.inf
+    values = {"spread": spread, "few": few, "hot": hot, "odd": odd}
+    rows_ = [tuple(float(v[i]) for v in values.values()) for i in range(n)]
+    return spark.createDataFrame(rows_, "spread double, few double, hot double, odd double").repartition(6), values
+
+
+@pytest.mark.parametrize("margin", [profiling.BRACKET_MARGIN, 0.0, -0.2])
+def test_bracketed_quantiles_equal_numpy_even_when_brackets_miss(many, monkeypatch, margin):
+    df, values = many
+    monkeypatch.setattr(profiling, "BRACKET_MARGIN", margin)
+    ps = [0.0, 0.001, 0.25, 0.333, 0.5, 0.75, 0.999, 1.0]
+    found = {(r.column_name, r.probability): r.value for r in profiling.exact_quantiles(df, list(values), ps).collect()}
+    assert len(found) == len(ps) * len(values)
+    for name in ("spread", "few", "hot"):
+        for p in ps:
+            assert found[name, p] == pytest.approx(np.quantile(values[name], p), abs=1e-9), (name, p)
+    ordered = np.sort(values["odd"])  # NaN last
+    for p in (0.25, 0.333, 0.5):
+        at = p * (len(ordered) - 1)
+        low, high = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+        assert found["odd", p] == pytest.approx(low + (high - low) * (at % 1))
+    assert np.isnan(found["odd", 1.0]) and np.isnan(found["odd", 0.999])
+
+
+def test_only_values_near_a_wanted_rank_are_shuffled(many):
+    brackets, totals = profiling._sketched_brackets(many[0], ["spread"], [0.25, 0.5])
+    assert totals == {"spread": 30_000}
+    inside = [((many[1]["spread"] >= b.low) & (many[1]["spread"] <= b.high)).sum() for b in brackets]
+    assert len(inside) == 2 and max(inside) < 0.03 * 30_000
+
+
 def test_sketch_stays_near_the_exact_value(df, data):
     x = np.sort(column(data, 1))
     for r in profiling.sketch_quantiles(df, ["x"], [0.25, 0.5, 0.75]).collect():
