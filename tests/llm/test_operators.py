@@ -343,6 +343,32 @@ def test_leaks(spark):
     assert decontam.find_leaks(documents.limit(0), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("place", ["dropped first", "dropped last", "replaced first", "replaced last", "replaced spread"])
+def test_leaks_with_all_edits_at_one_place(spark, place):
+    ship(spark)
+    rng, vocab = random.Random(9), vocabulary(4, 900)
+    items = [[rng.choice(vocab) for _ in range(n)] for n in [*range(1, 60), 64, 100, 200, 201]]
+    rows = []
+    for i, w in enumerate(items):
+        edits = decontam.allowed_edits(len(w), 0.8)
+        new = [f"new{k}" for k in range(edits)]
+        if place == "replaced spread":
+            w = [*w]
+            for k, x in enumerate(new):
+                w[k * len(w) // edits] = x
+        else:
+            new = new if place.startswith("replaced") else []
+            w = new + w[edits:] if place.endswith("first") else w[:len(w) - edits] + new
+        rows.append((i, " ".join(["before"] * 9 + w + ["after"] * 9)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.edit_distance for r in decontam.find_leaks(documents, benchmark).collect()}
+    got = {i: found.get((i, i)) for i, _ in rows}
+    assert got == {i: brute_distance(w, words(rows[i][1])) for i, w in enumerate(items)}
+    left = {r.doc_id for r in decontam.drop_leaks(documents, benchmark).collect()}
+    assert not left
+
+
 # --- classifiers --------------------------------------------------------------------------
 
 def test_language(spark, none):
