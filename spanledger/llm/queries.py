@@ -63,7 +63,8 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel | None:
-    return toxicity.fit(docs.filter(train_fold(F.col("doc_id"))), table(spark, sf_dir, "labels"), docs)
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.fit(docs.filter(train_fold(F.col("doc_id"))), labels.filter(train_fold(F.col("doc_id"))), docs)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

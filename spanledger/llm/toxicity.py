@@ -208,8 +208,9 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame, label: str = "tox
     None when a class has no document. A doc_id with several labels has the largest; other labels and null ids are
     ignored.
     """
-    chosen, totals = _sampled(labels, label, class_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    present = labels.join(texts.select("_id"), F.col("doc_id").cast("long") == F.col("_id"), "left_semi")  # no other label counts
+    chosen, totals = _sampled(present, label, class_rows)
     training = texts.join(F.broadcast(chosen), "_id").select("text", "label", "_hash")  # ids bounded by ``class_rows``
     training = durable(training.dropDuplicates(["text", "label"]), "labelled-texts")  # copies count once
     found = training.select("text", "label").mapInArrow(_bigrams, "key long, ordinary long, toxic long")

@@ -414,6 +414,36 @@ def test_toxicity(spark, none):
     assert toxicity.score_toxicity(docs, None).filter("score = 0").count() == 402
 
 
+def test_held_out_labels_change_no_score(spark, monkeypatch):
+    """Labels of the other fold, or of ids without a document, are never learned: not as counts either."""
+    from spanledger.llm import queries
+    from spanledger.llm.textops import train_fold
+
+    ship(spark)
+    rng, vocab = random.Random(2), vocabulary(3, 300)
+    rows, labels = [], []
+    for i in range(400):
+        w = [rng.choice(vocab) for _ in range(rng.randint(20, 120))]
+        for _ in range(len(w) // 12 * (i % 4 == 0)):
+            w.insert(rng.randrange(len(w)), rng.choice(["vile", "rotten"]))
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = ~train_fold(F.col("doc_id"))
+    skewed = marks.withColumn("toxic", F.when(held, 1).otherwise(F.col("toxic"))).union(spark.range(5000, 6000).select("id", F.lit(1)))
+    flipped = marks.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    got = []
+    for labelled in (marks, flipped, skewed):
+        monkeypatch.setattr(queries, "table", lambda *_, labelled=labelled: labelled)
+        scored = toxicity.score_toxicity(docs, queries.toxicity_model(spark, docs, "")).collect()
+        got.append(sorted((r.doc_id, r.score) for r in scored))
+    for other in got[1:]:
+        assert np.allclose([s for _, s in got[0]], [s for _, s in other], rtol=0, atol=1e-9)
+    monkeypatch.setattr(queries, "table", lambda *_: marks.filter(held))
+    assert queries.toxicity_model(spark, docs, "") is None
+
+
 def test_quality(spark, none):
     ship(spark)
     rng, vocab = random.Random(2), vocabulary(3, 300)
