@@ -226,7 +226,10 @@ def exact_duplicates(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept_id = free_name(docs, "_kept_id")
-    verdicts = exact_duplicates(docs, budget).filter("kept").select(F.col("doc_id").alias(kept_id))
-    return docs.join(verdicts, docs["doc_id"].cast("long").eqNullSafe(F.col(kept_id)), "left_semi")
+    """The documents that stay, with all their columns: those of the smallest id of their own group, so that a reused or null
+    id that stays in one group brings back no copy of another."""
+    columns, sha, kept_id, kept_sha = docs.columns, *(free_name(docs, c) for c in ("_sha", "_kept_id", "_kept_sha"))
+    kept = owners(docs, budget).select(F.col("keep_id").alias(kept_id), F.col("sha").alias(kept_sha))
+    rows = docs.withColumn(sha, F.unhex(F.sha2(normalised(F.col("text")), 256)))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha))
+    return rows.join(kept, same, "left_semi").select(*columns)

@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanledger.llm.components import connected_components
@@ -77,12 +77,14 @@ def fingerprint(text: bytes | None, width: int = SHINGLE_WORDS, seed: int = SEED
     return _fingerprint_of(values)
 
 
-def _fingerprints(batches, width: int, seed: int):
+def _fingerprints(batches, width: int, seed: int, others: tuple[str, ...] = ()):
+    """(doc_id, fp) and the columns ``others`` as they are."""
     for batch in chunks(batches):
         ids = batch.column(batch.schema.get_field_index("doc_id"))
         texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
         values = np.array([fingerprint(t, width, seed) for t in texts], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([ids, pa.array(values)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([ids, pa.array(values), *(batch.column(batch.schema.get_field_index(c)) for c in others)],
+                                         names=["doc_id", "fp", *others])
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
@@ -235,16 +237,34 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, distance: int =
     null doc_id is a row of its own; a component of null ids alone has a null component_id.
     """
     rows = durable(fingerprints(docs, width, seed), "fingerprints")
+    classes = _components(rows, distance).select("fp", "component_id")
+    return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _components(rows: DataFrame, distance: int) -> DataFrame:
+    """(fp, root, component_id) for each fingerprint of ``rows`` (doc_id, fp); root is the component's own."""
     first = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("doc")), "distinct-fingerprints")
     roots = connected_components(similar_links(first, distance))
     linked = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "doc", F.coalesce("root", "fp").alias("root"))
     smallest = linked.groupBy("root").agg(F.min("doc").alias("component_id"))
-    classes = linked.join(smallest, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return linked.join(smallest, "root").select("fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are the smallest id of their component, with all their columns."""
-    kept_id = free_name(docs, "_kept_id")
-    kept = near_duplicates(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept_id))
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col(kept_id)), "left_semi")
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+
+
+def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE, seed: int = SEED) -> DataFrame:
+    """The documents that are the smallest id of their component, with all their columns.
+
+    A document is an id with a text: a reused or null id that stays in one component brings back no text of another, and of
+    several texts of the smallest id in a component one stays. A component of null ids alone keeps its rows.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _digest().alias("digest"))
+    rows = durable(rows.mapInArrow(lambda b: _fingerprints(b, width, seed, ("digest",)), "doc_id long, fp long, digest binary"), "fingerprints")
+    columns, digest, kept_id, kept_digest = docs.columns, *(free_name(docs, c) for c in ("_digest", "_kept_id", "_kept_digest"))
+    first = rows.join(_components(rows, distance), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = (first.groupBy("root", "doc_id", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("own")).agg(F.min("digest").alias(kept_digest))
+            .select(F.col("doc_id").alias(kept_id), kept_digest))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(digest) == F.col(kept_digest))
+    return docs.withColumn(digest, _digest()).join(kept, same, "left_semi").select(*columns)

@@ -175,6 +175,29 @@ def test_simhash_odd(odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+# --- stages that keep one of a group ------------------------------------------------------
+
+@pytest.mark.parametrize("keep", [exact_dedup.keep_first, simhash.keep_one])
+def test_reused_and_null_ids_bring_back_no_copy(spark, keep):
+    ship(spark)
+    rng, vocab = random.Random(6), vocabulary(6, 500)
+    a, b, c, d, e = (" ".join(rng.choice(vocab) for _ in range(40)) for _ in range(5))
+    rows = [(1, a), (5, a), (5, b),  # 5 stays with b alone
+            (None, a), (None, c), (3, d), (None, d),  # a null id stays with c alone
+            (8, e), (8, e), (9, e)]  # a repeated row is the same document and shares the verdict
+    docs = spark.createDataFrame([(*r, "x", "x") for r in rows], "doc_id long, text string, _sha string, _digest string").repartition(3)
+    kept = keep(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (5, b), (None, c), (3, d), (8, e), (8, e)])
+
+
+def test_one_text_of_a_reused_id_stays_in_a_component(spark):
+    ship(spark)
+    rows = [(4, "Same words here"), (4, "same  words HERE"), (7, "same words here")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(kept) == 1 and kept[0].doc_id == 4
+
+
 # --- repeated spans -----------------------------------------------------------------------
 
 def brute_remove(rows, width):
