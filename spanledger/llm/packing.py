@@ -185,7 +185,7 @@ class _Lengths:
             if fresh:
                 self.pairs = None
             found, tried = self.mask & (self.pair_sums() >> (self.capacity - gap)) & ((1 << gap) - 1), 0
-            while found and tried < 8:
+            while found and (fresh or tried < 8):  # sums that ran out are found again first; then all lengths are tried
                 a = found.bit_length() - 1
                 found ^= 1 << a
                 tried += 1

@@ -276,6 +276,18 @@ def test_plan_uses_all_and_wastes_little(seed):
     assert sequences <= max(-(-total // 100) + 2, 1.02 * total / 100 + 2) or len(counts) < 6
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_a_triple_is_found_when_there_is_one(seed):
+    """Lengths with one piece left: many first lengths would need the same piece twice."""
+    rng = random.Random(seed)
+    gap, halves = 1000, rng.sample(range(100, 330), 14)
+    have = {*halves, *(gap - 2 * b for b in halves), *rng.sample(range(10, 120), 3)}
+    exists = any(a < b < gap - a - b and gap - a - b in have for a in have for b in have)
+    found = packing._Lengths(dict.fromkeys(have, 1), gap).triple(gap, {})
+    assert (found is not None) == exists
+    assert found is None or (sum(found) == gap and len(set(found)) == 3 and set(found) <= have)
+
+
 def test_packing_odd(odd, none):
     assert packing.pack(odd, tokenizer_path()).count() == 5
     assert packing.pack(none, tokenizer_path()).count() == 0
