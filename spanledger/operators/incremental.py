@@ -25,26 +25,26 @@ def watermark(
     """The point to read on from, as a scalar subquery over the control log.
 
     It is the newest mark of the completed batches, or ``run_ts`` minus the
-    lookback when there is none. ``max_updated_at`` uses the newest change
-    timestamp a batch has read, and the end time only for a log without any such
-    mark; a batch that read no rows never moves it. ``end_time`` uses when the
-    batch finished, which skips rows changed while it ran. Spark fills the value in before the scan, so
-    a comparison with it still reaches the parquet row-group filters.
+    lookback when there is none. With ``max_updated_at`` every batch marks its own
+    point: the newest change timestamp it has read, or its end time where the log
+    holds none for it; a batch that read no rows has no mark. ``end_time`` uses
+    when the batch finished, which skips rows changed while it ran. Spark fills
+    the value in before the scan, so a comparison with it still reaches the
+    parquet row-group filters.
     """
     done = control.filter(F.col("status") == COMPLETED)
     if target is not None:
         done = done.filter(F.col("target_table") == target)
-    marks = [F.max(F.col("end_time").cast(data_type))]
+    mark = F.col("end_time").cast(data_type)
     if kind == "max_updated_at":
-        if "processed_record_count" in control.columns:
-            read_rows = F.coalesce(F.col("processed_record_count") > 0, F.lit(True))
-            marks = [F.max(F.when(read_rows, F.col("end_time").cast(data_type)))]
         if "watermark" in control.columns:
-            marks.insert(0, F.max(F.col("watermark").cast(data_type)))
+            mark = F.coalesce(F.col("watermark").cast(data_type), mark)
+        if "processed_record_count" in control.columns:
+            mark = F.when(F.coalesce(F.col("processed_record_count") > 0, F.lit(True)), mark)
     elif kind != "end_time":
         raise ValueError(f"unknown watermark kind: {kind!r}")
     fallback = ts_lit(run_ts, data_type) - interval(*lookback)
-    return done.select(F.coalesce(*marks, fallback.cast(data_type)).alias("mark")).scalar()
+    return done.select(F.coalesce(F.max(mark), fallback.cast(data_type)).alias("mark")).scalar()
 
 
 def latest_marks(

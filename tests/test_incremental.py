@@ -33,7 +33,7 @@ def source(spark):
 
 @pytest.mark.parametrize("options,expected", [
     (dict(kind="end_time"), 11),                          # after 04:00, failed batch ignored
-    (dict(), 16),                                         # the newest stored mark; batches without one do not count
+    (dict(), 11),                                         # b2 stored no mark of its own, so its end time, 04:00
     (dict(target="t1"), 16),                              # after the newest record read, 01:30
     (dict(target="t1", kind="end_time"), 15),             # after 02:00
     (dict(target="t9", lookback=(2, "hour")), 3),         # never run: 08:00 by lookback
@@ -44,6 +44,20 @@ def test_marks(source, control, options, expected):
     assert incremental_extract(source, control, "2024-01-01 10:00:00", **options).count() == expected
 
 
+def test_mark_of_a_mixed_log(spark, source):
+    """An old batch with a mark does not hide later ones without; empty batches have none at all."""
+    log = [
+        (None, "old", "2024-01-01 00:00:00", "2024-01-01 09:00:00", "completed", 5, None, "2024-01-01 01:00:00"),
+        (None, "plain", "2024-01-01 02:00:00", "2024-01-01 03:00:00", "completed", 5, None, None),
+        (None, "unknown", "2024-01-01 02:00:00", "2024-01-01 03:30:00", "completed", None, None, None),
+        (None, "empty", "2024-01-01 06:00:00", "2024-01-01 07:00:00", "completed", 0, None, None),
+        (None, "lost", "2024-01-01 06:00:00", "2024-01-01 08:00:00", "failed", 5, "x", None),
+    ]
+    for order in (log, log[::-1]):
+        read = incremental_extract(source, inline_rows(spark, order, CONTROL_LOG), "2024-01-01 10:00:00")
+        assert read.agg(F.min("updated_at").cast("string")).first()[0] == "2024-01-01 04:00:00"
+
+
 def test_empty_log_and_bad_kind(source, control):
     empty = control.limit(0)
     assert incremental_extract(source, empty, "2024-01-01 10:00:00").count() == 1
