@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import decontam, exact_dedup, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
+from spanledger.llm import decontam, exact_dedup, filter_audit, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
 from spanledger.llm.shipping import ship
 from spanledger.llm.textops import train_fold
 from spanledger.sources.scratch import durable
@@ -90,9 +90,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_exact_dedup, op4_packing, op5_language, op6_toxicity,
-                            op7_simhash, op8_quality, op9_sharding, op10_substring_dedup)
+                            op7_simhash, op8_quality, op9_sharding, op10_substring_dedup, op11_filter_audit)
 }
 
 ORACLES: dict[str, str] = {
@@ -120,4 +124,41 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM words LEFT JOIN kept USING (doc_id)
     """,
+    "op11_filter_audit": """
+        WITH t AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (
+            SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+                   doc_id > min(doc_id) OVER (PARTITION BY t) AS copy FROM t),
+        fails AS (
+            SELECT doc_id, part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad,
+                   [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+                    regexp_matches(t, '[#$%&*|]'), copy] AS f
+            FROM w LEFT JOIN labels USING (doc_id)),
+        letters AS (SELECT i, chr((64 + i)::INT) AS c FROM range(1, 6) AS s(i)),
+        orders AS (
+            SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS o
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        steps AS (
+            SELECT filter_order, k::INT AS step, o[k] AS f, o[:k - 1] AS before FROM orders, range(1, 6) AS s(k)),
+        shapes AS (
+            SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+            FROM fails GROUP BY part, f),
+        counted AS (
+            SELECT part, filter_order, step, steps.f AS filter,
+                   sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END)::BIGINT AS kept,
+                   sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END)::BIGINT AS removed,
+                   sum(CASE WHEN gone AND hit THEN n ELSE 0 END)::BIGINT AS redundant,
+                   sum(CASE WHEN hit AND alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                   sum(CASE WHEN NOT gone AND hit THEN good ELSE 0 END)::BIGINT AS good_lost,
+                   sum(CASE WHEN NOT gone AND hit THEN bad ELSE 0 END)::BIGINT AS toxic_lost
+            FROM (SELECT part, n, good, bad, filter_order, step, steps.f, shapes.f[steps.f] AS hit,
+                         len(list_filter(before, lambda x: shapes.f[x])) > 0 AS gone,
+                         len(list_filter(shapes.f, lambda x: x)) = 1 AS alone
+                  FROM shapes, steps) AS steps
+            GROUP BY ALL)
+        SELECT * EXCLUDE (filter), sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM counted
+    """,
 }
