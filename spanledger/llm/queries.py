@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import decontam, exact_dedup, filter_audit, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
+from spanledger.llm import bpe, decontam, exact_dedup, filter_audit, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
 from spanledger.llm.shipping import ship
 from spanledger.llm.textops import train_fold
 from spanledger.sources.scratch import durable
@@ -94,9 +94,21 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    # A JSON list of numbers without its brackets is the decimal ids joined by commas.
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.btrim(F.to_json("ids"), F.lit("[]")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_exact_dedup, op4_packing, op5_language, op6_toxicity,
-                            op7_simhash, op8_quality, op9_sharding, op10_substring_dedup, op11_filter_audit)
+                            op7_simhash, op8_quality, op9_sharding, op10_substring_dedup, op11_filter_audit, op12_byte_bpe)
 }
 
 ORACLES: dict[str, str] = {
