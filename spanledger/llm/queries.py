@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import bpe, decontam, exact_dedup, filter_audit, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
+from spanledger.llm import bpe, decontam, exact_dedup, filter_audit, hard_negatives, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
 from spanledger.llm.shipping import ship
 from spanledger.llm.textops import train_fold
 from spanledger.sources.scratch import durable
@@ -106,9 +106,18 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components become whole 256ths; a seventh of the ids get the next label."""
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").filter(finite).select("vec_id", label.alias("label"), whole.alias("vector"))
+    return hard_negatives.mine_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_exact_dedup, op4_packing, op5_language, op6_toxicity,
-                            op7_simhash, op8_quality, op9_sharding, op10_substring_dedup, op11_filter_audit, op12_byte_bpe)
+                            op7_simhash, op8_quality, op9_sharding, op10_substring_dedup, op11_filter_audit, op12_byte_bpe, op13_hard_negatives)
 }
 
 ORACLES: dict[str, str] = {
@@ -173,4 +182,25 @@ ORACLES: dict[str, str] = {
             GROUP BY ALL)
         SELECT * EXCLUDE (filter), sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM counted
     """,
+    "op13_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+        pairs AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                   list_dot_product(a.v, r.v)::BIGINT AS score
+            FROM vectors a, vectors r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+        positives AS (
+            SELECT * FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, p.vec_id AS positive_id,
+               row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INT AS rank,
+               n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN pairs n USING (anchor_id)
+        WHERE NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+        QUALIFY rank <= 10
+    """,
 }
