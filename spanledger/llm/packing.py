@@ -28,8 +28,9 @@ END_ID = 1
 CACHED_WORDS = 250_000
 
 # Letters whose lower-case form, normal form and character class are beyond doubt; other words go to the tokenizer whole.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+\Z")
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
+_NOT_PLAIN = re.compile(r"[^\n!-~À-ÖØ-öø-ÿ]")
+_PARTS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+")
+_BETWEEN = b"\xff\xff\xff\xff"  # no id: ids stay below 2^24, so this is found between ids only
 
 
 def _byte_letters() -> dict[int, str]:
@@ -57,47 +58,49 @@ class WordEncoder:
         for token, i in self.whole.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.cached, self.words, self.parts = cached, {}, {}
-        self.letters = {ord(bytes([b]).decode("latin-1")): c for b, c in _byte_letters().items()}
+        self.cached, self.words, self.parts = cached, {}, {"\n": _BETWEEN}
+        self.letters = {ord(bytes([b]).decode("latin-1")): c for b, c in _byte_letters().items() if b != 0x20}
 
-    def _merge(self, parts: list[str]) -> None:
-        named = " ".join(p.encode().decode("latin-1").translate(self.letters) for p in parts)
+    def _merge(self, parts: list[str]) -> bool:
+        """Make the parts known; False if their ids cannot be told apart."""
+        named = " ".join(parts).encode().decode("latin-1").translate(self.letters)
         ids = np.array(self.merger.encode_batch_fast([named], add_special_tokens=False)[0].ids, "<u4")
-        begin = 0
-        for part, end in zip(parts, (np.flatnonzero(self.ends[ids]) + 1).tolist()):
-            self.parts[part] = ids[begin:end].tobytes()
-            begin = end
-        assert begin == len(ids)
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(ends) != len(parts) or ends[-1] != 4 * len(ids):
+            return False
+        raw = ids.tobytes()
+        self.parts.update(zip(parts, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        return True
 
     def learn(self, words: set[bytes]) -> None:
         """Make all of ``words`` known."""
         if len(self.words) + len(words) > self.cached:
             self.words = {}
         if len(self.parts) > self.cached:
-            self.parts = {}
-        cut, missing = {}, {}
-        for raw in words:
-            if raw in self.words:
-                continue
-            word = raw.decode()
-            if _PLAIN.match(word) and not any(s in word for s in self.special):
-                low = word.lower()
-                cut[raw] = pieces = (low,) if low.isalpha() else _PARTS.findall(low)
-                for p in pieces:
-                    if p not in self.parts:
-                        missing[p] = None
+            self.parts = {"\n": _BETWEEN}
+        plain = [w for w in words if w not in self.words]
+        text = b"\n".join(plain).decode()
+        odd = []
+        if _NOT_PLAIN.search(text) or any(s in text for s in self.special):
+            is_odd = [bool(_NOT_PLAIN.search(w)) or any(s in w for s in self.special) for w in text.split("\n")]
+            odd = [w for w, there in zip(plain, is_odd) if there]
+            plain = [w for w, there in zip(plain, is_odd) if not there]
+            text = b"\n".join(plain).decode()
+        if plain:  # all words at once, by their parts; the line ends stay between them
+            parts = _PARTS.findall(text.lower())
+            missing = list(set(parts).difference(self.parts))
+            if not missing or self._merge(missing):
+                ids = b"".join(map(self.parts.__getitem__, parts)).split(_BETWEEN)
+                self.words.update(zip(plain, ids))
             else:
-                ids = self.whole.encode(unicodedata.normalize("NFC", word), add_special_tokens=False).ids
-                self.words[raw] = np.array(ids, "<u4").tobytes()
-        if missing:
-            self._merge(list(missing))
-        parts = self.parts
-        for raw, pieces in cut.items():
-            self.words[raw] = parts[pieces[0]] if len(pieces) == 1 else b"".join([parts[p] for p in pieces])
+                odd += plain
+        for raw in odd:
+            ids = self.whole.encode(unicodedata.normalize("NFC", raw.decode()), add_special_tokens=False).ids
+            self.words[raw] = np.array(ids, "<u4").tobytes()
 
     def forget(self) -> None:
         """Free the remembered words: a Python worker outlives its task and would hold them beside other operators."""
-        self.words, self.parts = {}, {}
+        self.words, self.parts = {}, {"\n": _BETWEEN}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [t.split() for t in texts]
@@ -107,10 +110,10 @@ class WordEncoder:
             while end < len(split) and (end == begin or held < self.cached // 2):
                 held += len(split[end])
                 end += 1
-            known = self.words
-            new = {w for s in split[begin:end] for w in s if w not in known}
+            words = set().union(*split[begin:end])
+            new = words.difference(self.words)
             if new:
-                self.learn(new | {w for s in split[begin:end] for w in s} if len(known) + len(new) > self.cached else new)
+                self.learn(words if len(self.words) + len(new) > self.cached else new)
             get = self.words.__getitem__
             for s in split[begin:end]:
                 yield b"".join(map(get, s))
@@ -124,17 +127,19 @@ def _pieces(batches, path: str, capacity: int):
     encoder = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
     end = np.array([END_ID], "<u4").tobytes()
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
-    for batch in chunks(batches):
-        ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-        texts = [t or b"" for t in batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()]
-        rows = []
-        for doc_id, tokens in zip(ids, encoder.encode(texts)):
-            tokens += end
-            for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
-                part = tokens[at:at + 4 * capacity]
-                rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-    encoder.forget()
+    try:
+        for batch in chunks(batches):
+            ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
+            texts = [t or b"" for t in batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()]
+            rows = []
+            for doc_id, tokens in zip(ids, encoder.encode(texts)):
+                tokens += end
+                for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
+                    part = tokens[at:at + 4 * capacity]
+                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+    finally:
+        encoder.forget()
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
