@@ -138,6 +138,24 @@ def scd2_apply(
     )
 
 
+def changed_identifiers(
+    prior: DataFrame, staged: DataFrame, id_map: DataFrame, preset: str = "dbt_final", rules: Scd2Rules | None = None, **overrides,
+) -> DataFrame:
+    """The identifiers to whose rows ``scd2_apply`` would add or change something, once each.
+
+    These are identifiers with an open row that differs from the staged rows, and identifiers that count as new. All other
+    rows of ``prior`` come through ``scd2_apply`` as they are. Reads the compared columns of the open rows and the ids.
+    """
+    rules = replace(rules or PRESETS[preset], **overrides)
+    compare = list(rules.compare_cols)
+    is_open = F.col(TO_DATE).eqNullSafe(date_lit(rules.open_end))
+    keyed = _staged_summary(staged, compare, is_open, rules).join(id_map.select(*CONTRACT_KEY, IDENTIFIER), CONTRACT_KEY)
+    differing = _flag_changes(prior.filter(is_open), keyed.drop(*CONTRACT_KEY), compare, rules).filter("_changed").select(IDENTIFIER)
+    known = prior if rules.new_against == "all" else prior.filter(is_open)
+    fresh = keyed.select(IDENTIFIER).join(known.select(IDENTIFIER).distinct(), IDENTIFIER, "left_anti")
+    return differing.unionByName(fresh).distinct()
+
+
 def _staged_summary(staged: DataFrame, compare: list[str], is_open: Column, rules: Scd2Rules) -> DataFrame:
     """One row per key with the extremes of the staged rows that count for comparison."""
     if rules.compare_with == "all":

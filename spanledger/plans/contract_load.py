@@ -8,6 +8,7 @@ every load would run all earlier ones again.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -15,8 +16,9 @@ from pyspark.sql import DataFrame
 from spanledger.functions.dates import DateLike, TimeLike
 from spanledger.operators.consolidate import consolidate_contracts
 from spanledger.operators.identifiers import assign_ids
-from spanledger.operators.scd2 import dim_contracts, initial_load, scd2_apply
-from spanledger.schemas import CONTRACT_COLUMNS
+from spanledger.operators.scd2 import changed_identifiers, dim_contracts, initial_load, scd2_apply, upsert_by_key, with_identifier
+from spanledger.schemas import CONTRACT_COLUMNS, IDENTIFIER
+from spanledger.sources.ranged import RangedTable
 from spanledger.sources.scratch import durable
 
 
@@ -25,6 +27,11 @@ class Loaded(NamedTuple):
     final: DataFrame
 
 
+class RangedLoad(NamedTuple):
+    id_map: DataFrame
+    ranges: list[int]
+
+
 class ConsolidatedLoad(NamedTuple):
     consolidated: DataFrame
     id_map: DataFrame
@@ -46,6 +53,37 @@ def daily_load(
     return Loaded(new_map, scd2_apply(final, staged, new_map, run_date, preset, **options))
 
 
+def load_in_ranges(
+    staged: DataFrame,
+    id_map: DataFrame,
+    table: RangedTable,
+    run_date: DateLike,
+    preset: str = "dbt_final",
+    **options,
+) -> RangedLoad:
+    """Apply the staged rows to a history stored in ranges of identifiers.
+
+    Only ranges whose identifiers the feed names are read to find what changes, and only those in which something changes
+    are written; the table then equals what ``daily_load`` gives. The feed may be the day's whole feed or its changes.
+    """
+    new_map = durable(assign_ids(staged, id_map), "id-map")
+    staged = durable(staged, "staged")
+    named = with_identifier(staged, new_map)
+    table.recover()
+    changed = durable(changed_identifiers(table.read(table.ranges_of(named)), staged, new_map, preset, **options), "changed-ids")
+    # Staged rows of identifiers that do not change would pass through the load without effect.
+    rows = named.join(changed, IDENTIFIER, "left_semi").drop(IDENTIFIER)
+    return RangedLoad(new_map, table.rewrite(changed, lambda prior: scd2_apply(prior, rows, new_map, run_date, preset, **options)))
+
+
+def upsert_in_ranges(new: DataFrame, table: RangedTable, key: Sequence[str]) -> list[int]:
+    """Rows of ``new`` replace stored rows with the same ``key``, which holds the table's range key; returns the ranges written."""
+    if table.key not in key:
+        raise ValueError(f"the key must hold {table.key}")
+    new = durable(new, "upsert")
+    return table.rewrite(new, lambda prior: upsert_by_key(prior, new, key, sync_columns=False))
+
+
 def consolidate_and_load(
     staged: DataFrame,
     id_map: DataFrame | None,

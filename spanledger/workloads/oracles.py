@@ -232,6 +232,16 @@ FROM contracts""", DATES, "amount")
 ORACLES["scd2_initial_load"] = shaped(HISTORY, "SELECT * FROM history", DATES, "amount")
 ORACLES["scd2_sqlite"] = shaped(
     BOTH_DAYS, _final(scd2(SQLITE_DIFFERS, True, False, "DATE '9999-12-31'")), DATES, "amount")
+ORACLES["scd2_ranged"] = shaped(BOTH_DAYS, _final(DBT_ROWS), DATES, "amount")
+ORACLES["scd2_ranged_index"] = shaped(HISTORY, """
+SELECT contract_identifier // 50 AS key_range, min(contract_identifier) AS low, max(contract_identifier) AS high,
+       count(*) + count(*) FILTER (effective_to_date = DATE '9999-12-31' AND contract_id % 100 = 7) AS n_rows,
+       max(CASE WHEN effective_to_date = DATE '9999-12-31' AND contract_id % 100 = 7 THEN 1 ELSE 0 END)::BIGINT AS step
+FROM history GROUP BY ALL""")
+ORACLES["upsert_ranged"] = shaped(HISTORY, """
+SELECT * REPLACE (CAST(amount + CASE WHEN effective_to_date = DATE '9999-12-31' AND contract_id % 100 < 3 THEN 5 ELSE 0 END
+                       AS DECIMAL(12,2)) AS amount)
+FROM history""", DATES, "amount")
 ORACLES["scd2_merge"] = shaped(
     BOTH_DAYS, _final(scd2(MERGE_DIFFERS, False, False, "DATE '9999-12-31'")), DATES, "amount")
 ORACLES["scd2_dbt_v1"] = shaped(BOTH_DAYS, _final(DBT_ROWS), DATES, "amount")

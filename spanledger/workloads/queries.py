@@ -15,6 +15,7 @@ from spanledger.plans import batch, checks, contract_load, record_load
 from spanledger.plans.profiling_run import data_profiling
 from spanledger.schemas import CONTRACT_COLUMNS, CONTRACT_KEY, CONTROL_LOG, FLATTENED_RECORDS, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 from spanledger.sources import ddl, readers, writers
+from spanledger.sources.ranged import RANGE, RangedTable
 from spanledger.sources.scratch import durable, fresh_path
 from spanledger.streaming.flatten_stream import flatten_stream, read_record_stream
 from spanledger.workloads import views
@@ -195,6 +196,42 @@ def dim_contracts_staged_key(spark, sf_dir):
     return _dimension(spark, sf_dir, "staged")
 
 
+RANGE_KEYS = 50  # identifiers in one range of the stored history
+
+
+def _ranged_history(spark, sf_dir):
+    day1, id_map, final = _first_load(spark, sf_dir)
+    return day1, id_map, RangedTable.create(final, fresh_path(spark, "ranged-history"), IDENTIFIER, RANGE_KEYS)
+
+
+@query
+def scd2_ranged(spark, sf_dir):
+    """The second day applied to a history stored in ranges of identifiers."""
+    day1, id_map, table = _ranged_history(spark, sf_dir)
+    contract_load.load_in_ranges(views.day2(spark, sf_dir, day1), id_map, table, RUN_DATE)
+    return table.read().select("contract_identifier", *CONTRACT_COLUMNS)
+
+
+@query
+def scd2_ranged_index(spark, sf_dir):
+    """A day on which few contracts change: bounds, rows and last step of every range; step 0 was not written again."""
+    day1, id_map, table = _ranged_history(spark, sf_dir)
+    amount = F.when(F.col("contract_id") % 100 == 7, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(12,2)")
+    feed = day1.filter(F.col(TO_DATE) == dates.date_lit(OPEN_END)).withColumn("amount", amount)
+    contract_load.load_in_ranges(feed, id_map, table, RUN_DATE)
+    return table.index()
+
+
+@query
+def upsert_ranged(spark, sf_dir):
+    """Open versions of some customers replaced in place, from another session's view of the table."""
+    _, _, table = _ranged_history(spark, sf_dir)
+    is_open = F.col(TO_DATE) == dates.date_lit(OPEN_END)
+    new = table.read().filter(is_open & (F.col("contract_id") % 100 < 3)).withColumn("amount", (F.col("amount") + 5).cast("decimal(12,2)"))
+    contract_load.upsert_in_ranges(new, RangedTable.open(spark, table.path), [IDENTIFIER, FROM_DATE])
+    return table.read().select("contract_identifier", *CONTRACT_COLUMNS)
+
+
 @query
 def upsert_by_key(spark, sf_dir):
     """The day-2 feed replaces open versions with the same row key."""
