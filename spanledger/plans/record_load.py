@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from spanledger.functions.dates import TimeLike
 from spanledger.operators.flatten import RECORD_ROUTES, Route, flatten_json, route
 from spanledger.operators.incremental import dedup_latest, incremental_extract
-from spanledger.plans.batch import _utc_now, new_batch_id, read_control, run_batch
+from spanledger.plans.batch import _utc_now, commit_batch, new_batch_id, read_control, run_batch
 
 
 def load_records(
@@ -23,19 +23,22 @@ def load_records(
     key: str = "record_id",
     updated_col: str = "updated_at",
     clock: Callable[[], TimeLike] = _utc_now,
+    exactly_once: bool = False,
     **paths,
 ) -> int:
     """Append the newest copy of every record changed since the target's mark, flattened; returns the rows written.
 
-    The log decides where to read on from, so a failed or empty run is made up for by the next one. ``paths`` are those
-    of ``flatten_json``.
+    The log decides where to read on from, so a failed or empty run is made up for by the next one. With
+    ``exactly_once`` the target holds a folder for each batch and is read by ``read_committed``; otherwise rows are
+    appended and a run that is lost before its log row may leave duplicates. ``paths`` are those of ``flatten_json``.
     """
     batch_id = batch_id or new_batch_id()
     control = read_control(source.sparkSession, control_path)
     changed = incremental_extract(source, control, run_ts, lookback, target, updated_col=updated_col)
     rows = flatten_json(dedup_latest(changed, key, updated_col), updated_col=updated_col, batch_id=batch_id,
                         processed_at=run_ts, **paths)
-    return run_batch(rows, target_path, control_path, batch_id, updated_col=updated_col, target=target, clock=clock)
+    deliver = commit_batch if exactly_once else run_batch
+    return deliver(rows, target_path, control_path, batch_id, updated_col=updated_col, target=target, clock=clock)
 
 
 def load_routed(
@@ -49,12 +52,14 @@ def load_routed(
     key: str = "record_id",
     updated_col: str = "updated_at",
     clock: Callable[[], TimeLike] = _utc_now,
+    exactly_once: bool = False,
 ) -> dict[str, int]:
     """Load every target below ``root`` from its own mark, with its own log row; returns the rows written to each.
 
     Every target is tried. If some fail, their rows in the log say so and the first error is raised at the end; the
-    next run reads those targets from their old marks.
+    next run reads those targets from their old marks. ``exactly_once`` as for ``load_records``.
     """
+    deliver = commit_batch if exactly_once else run_batch
     batch_id = batch_id or new_batch_id()
     control = read_control(source.sparkSession, control_path)
     written, errors = {}, []
@@ -62,7 +67,7 @@ def load_routed(
         changed = incremental_extract(source, control, run_ts, lookback, rule.target, updated_col=updated_col)
         rows = route(dedup_latest(changed, key, updated_col), rule, updated_col=updated_col, batch_id=batch_id)
         try:
-            written[rule.target] = run_batch(rows, f"{root.rstrip('/')}/{rule.target}", control_path, batch_id,
+            written[rule.target] = deliver(rows, f"{root.rstrip('/')}/{rule.target}", control_path, batch_id,
                                              updated_col=updated_col, target=rule.target, clock=clock)
         except Exception as error:
             errors.append(error)

@@ -346,6 +346,7 @@ loaded AS (
 SELECT l.record_id, l.updated_at, batch_id,
        CAST(greatest(n_contacts, 1) * greatest(n_skills, 1) * greatest(n_hobbies, 1) AS BIGINT) AS n_rows
 FROM loaded l JOIN records r USING (record_id)""", "updated_at")
+ORACLES["load_exactly_once"] = f"SELECT *, 3::BIGINT AS n_batches_written FROM ({ORACLES['load_records']})"
 ORACLES["load_routed"] = shaped(RECORDS + f""",
 sent AS (
   SELECT 'table1' AS target_table, record_id, updated_at FROM records WHERE name IS NOT NULL

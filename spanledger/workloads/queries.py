@@ -437,6 +437,41 @@ def load_records(spark, sf_dir):
     return spark.read.parquet(target).groupBy("record_id", "updated_at", "batch_id").agg(F.count("*").alias("n_rows"))
 
 
+def _lost_before_the_log():
+    """A clock that tells when a batch begins and fails when it ends, after the rows are written."""
+    times = iter([RECORD_RUN_TS])
+
+    def clock():
+        try:
+            return next(times)
+        except StopIteration:
+            raise RuntimeError("driver lost") from None
+
+    return clock
+
+
+@query
+def load_exactly_once(spark, sf_dir):
+    """A load is lost between its files and its log row; the retry, itself repeated, loads no row twice."""
+    target, log = fresh_path(spark, "committed"), fresh_path(spark, "control")
+    records = views.json_records(spark, sf_dir)
+
+    def load(source, batch_id, **options):
+        return record_load.load_records(source, target, log, RECORD_RUN_TS, lookback=(1, "year"), batch_id=batch_id, exactly_once=True, **options)
+
+    load(_first_half(records), "b1")
+    try:
+        load(records, "b2", clock=_lost_before_the_log())
+        raise AssertionError("the batch should have been lost")
+    except RuntimeError as error:
+        assert "driver lost" in str(error)
+    for _ in range(2):
+        load(views.json_records_resent(spark, sf_dir), "b3")
+    written = spark.read.parquet(target).select("batch_id").distinct().count()
+    stored = batch.read_committed(spark, target, log, "records")
+    return stored.groupBy("record_id", "updated_at", "batch_id").agg(F.count("*").alias("n_rows")).withColumn("n_batches_written", F.lit(written))
+
+
 @query
 def load_routed(spark, sf_dir):
     """The log after two loads of both targets, a failing one in between: each target has its own mark."""
