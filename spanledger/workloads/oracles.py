@@ -643,3 +643,17 @@ ORACLES["kmeans_facts"] = """
 SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest, CAST(10 AS BIGINT) AS n_top,
        CAST(0 AS BIGINT) AS n_farther
 FROM lineitem"""
+
+# --- facts in validity ranges -----------------------------------------------------------
+
+ORACLES["orders_contract_version"] = shaped(CONTRACTS, """
+SELECT o_orderkey, o_custkey AS contract_id, CAST(o_orderdate AS DATE) + 400 AS due_date, count(c.contract_id) AS n_ranges,
+       sum(amount) AS amount, min(effective_from_date) AS first_from, max(effective_to_date) AS last_to
+FROM orders LEFT JOIN contracts c ON c.contract_id = o_custkey
+     AND CAST(o_orderdate AS DATE) + 400 BETWEEN effective_from_date AND effective_to_date
+GROUP BY ALL""", "due_date first_from last_to", "amount")
+ORACLES["valid_by_order_day"] = shaped(TIMELINE + """,
+wanted AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day, 100 + o_custkey % 7 AS territory_id FROM orders)""", """
+SELECT w.territory_id, day, count(*) AS n_versions, sum(amount) AS amount
+FROM wanted w JOIN timeline t ON t.territory_id = w.territory_id AND day BETWEEN effective_from_date AND effective_to_date
+GROUP BY ALL""", "day", "amount")

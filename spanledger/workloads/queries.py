@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanledger.functions import dates, keys
-from spanledger.operators import consolidate, flatten, identifiers, incremental, marts, profiling, quality, reports, scd2
+from spanledger.operators import consolidate, flatten, identifiers, incremental, intervals, marts, profiling, quality, reports, scd2
 from spanledger.operators.anomalies import kmeans_anomalies, kmeans_distances
 from spanledger.plans import batch, checks, contract_load, record_load
 from spanledger.plans.profiling_run import data_profiling
@@ -339,6 +339,25 @@ def contracts_by_month(spark, sf_dir):
     return marts.contracts_by_month(views.history(spark, sf_dir), *_fact_span(spark, sf_dir))
 
 
+@query
+def orders_contract_version(spark, sf_dir):
+    """Each order with the contract ranges that hold a day a good year after it, if any does."""
+    facts = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("contract_id"), F.date_add(F.to_date("o_orderdate"), 400).alias("due_date"))
+    found = intervals.interval_join(facts, views.contracts(spark, sf_dir).drop("interest_date"), "due_date", ["contract_id"], how="left")
+    return found.groupBy("o_orderkey", "contract_id", "due_date").agg(
+        F.count("territory_id").alias("n_ranges"), F.sum("amount").alias("amount"), F.min(FROM_DATE).alias("first_from"), F.max(TO_DATE).alias("last_to"))
+
+
+@query
+def valid_by_order_day(spark, sf_dir):
+    """For each order day and territory: versions valid then, joined by date bins as a territory has many."""
+    days = _table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), (100 + F.col("o_custkey") % 7).alias("territory_id")).distinct()
+    versions = views.timeline(spark, sf_dir).select("territory_id", "amount", FROM_DATE, TO_DATE)
+    return intervals.interval_join(days, versions, "day", ["territory_id"]).groupBy("territory_id", "day").agg(
+        F.count("*").alias("n_versions"), F.sum("amount").alias("amount"))
+
+
 @query
 def csv_seed(spark, sf_dir):
     """Active contracts labelled from a CSV seed."""
