@@ -657,3 +657,18 @@ wanted AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day, 100 + o_custkey % 7
 SELECT w.territory_id, day, count(*) AS n_versions, sum(amount) AS amount
 FROM wanted w JOIN timeline t ON t.territory_id = w.territory_id AND day BETWEEN effective_from_date AND effective_to_date
 GROUP BY ALL""", "day", "amount")
+
+# --- profiles that grow with their table --------------------------------------------------
+
+_SKETCHED = (("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_orderkey", "bigint"))
+ORACLES["profile_incremental"] = "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS total_count, count(*) - count({c}) AS null_count,
+       CAST(min({c}) AS DOUBLE) AS min_number, CAST(max({c}) AS DOUBLE) AS max_number, round(avg({c}), 3) AS avg_value,
+       round(stddev_samp({c}), 3) AS stddev_value, true AS distinct_within, true AS quartiles_within,
+       count(DISTINCT CASE WHEN year(l_shipdate) < 1998 THEN year(l_shipdate) END) AS n_read_first,
+       count(DISTINCT CASE WHEN year(l_shipdate) >= 1998 THEN year(l_shipdate) END) AS n_read_later
+FROM lineitem""" for c, t in _SKETCHED)
+ORACLES["profile_over_time"] = "\nUNION ALL\n".join(f"""
+SELECT CAST(year(l_shipdate) AS VARCHAR) AS ship_year, '{c}' AS column_name, count(*) AS total_count, count(*) - count({c}) AS null_count,
+       CAST(min({c}) AS DOUBLE) AS min_number, CAST(max({c}) AS DOUBLE) AS max_number, round(avg({c}), 3) AS avg_value
+FROM lineitem GROUP BY 1""" for c, t in _SKETCHED)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanledger.functions import dates, keys
-from spanledger.operators import consolidate, flatten, identifiers, incremental, intervals, marts, profiling, quality, reports, scd2
+from spanledger.operators import consolidate, flatten, identifiers, incremental, intervals, marts, profile_store, profiling, quality, reports, scd2
 from spanledger.operators.anomalies import kmeans_anomalies, kmeans_distances
 from spanledger.plans import batch, checks, contract_load, record_load
 from spanledger.plans.profiling_run import data_profiling
@@ -929,3 +929,47 @@ def sample_limit(spark, sf_dir):
     genuine = sample.join(lineitem, lineitem.columns, "left_semi")
     return sample.agg(F.count("*").alias("n_rows")).withColumn(
         "n_from_table", genuine.agg(F.count("*").alias("n")).scalar())
+
+
+# --- profiles that grow with their table --------------------------------------------------
+
+SKETCHED = ["l_quantity", "l_extendedprice", "l_discount", "l_orderkey"]
+
+
+def _profiled_by_year(spark, sf_dir):
+    """Lineitem in folders of ship years; the later years come after the first profile. Returns what each update read."""
+    table, store = fresh_path(spark, "lineitem-by-year"), fresh_path(spark, "profile-store")
+    rows = _table(spark, sf_dir, "lineitem").select(*SKETCHED, F.year("l_shipdate").alias("ship_year"))
+    writers.append_partitioned(rows.filter("ship_year < 1998"), table, ["ship_year"])
+    first = profile_store.update_profile(spark, table, store, "ship_year")
+    writers.append_partitioned(rows.filter("ship_year >= 1998"), table, ["ship_year"])
+    return store, len(first), len(profile_store.update_profile(spark, table, store, "ship_year"))
+
+
+@query
+def profile_incremental(spark, sf_dir):
+    """The profile after an append that read the new years only; distinct counts and quartiles against exact ones."""
+    store, first, later = _profiled_by_year(spark, sf_dir)
+    profile = durable(profile_store.profile_from_store(spark, store), "profile")
+    rows, marks = _table(spark, sf_dir, "lineitem"), {r["column_name"]: r for r in profile.collect()}  # four rows
+    checks = []
+    for c in SKETCHED:
+        ranks = [(F.lit(q), F.avg((F.col(c) < marks[c][f"q{i}"]).cast("int")), F.avg((F.col(c) <= marks[c][f"q{i}"]).cast("int"))) for i, q in ((1, 0.25), (2, 0.5), (3, 0.75))]
+        near = [(low - profile_store.RANK_ERROR <= q) & (q <= high + profile_store.RANK_ERROR) for q, low, high in ranks]
+        checks.append(rows.agg(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact"), (near[0] & near[1] & near[2]).alias("quartiles_within")))
+    exact = checks[0]
+    for other in checks[1:]:
+        exact = exact.unionByName(other)
+    off = F.abs(F.col("distinct_count") - F.col("exact")) <= F.ceil(profile_store.DISTINCT_ERROR * F.col("exact"))
+    return profile.join(exact, "column_name").select(
+        "column_name", "data_type", "total_count", "null_count", "min_number", "max_number",
+        F.round("avg_value", 3).alias("avg_value"), F.round("stddev_value", 3).alias("stddev_value"),
+        off.alias("distinct_within"), "quartiles_within", F.lit(first).alias("n_read_first"), F.lit(later).alias("n_read_later"))
+
+
+@query
+def profile_over_time(spark, sf_dir):
+    """The stored profile of each ship year."""
+    store, _, _ = _profiled_by_year(spark, sf_dir)
+    return profile_store.profile_over_time(spark, store).select(
+        F.col("partition").alias("ship_year"), "column_name", "total_count", "null_count", "min_number", "max_number", F.round("avg_value", 3).alias("avg_value"))
