@@ -644,6 +644,26 @@ SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS
        CAST(0 AS BIGINT) AS n_farther
 FROM lineitem"""
 
+# --- newest copies as a stream -------------------------------------------------------------
+
+ORACLES["stream_newest"] = shaped(RECORDS + """,
+newest AS (
+  SELECT * REPLACE (updated_at + CASE WHEN product_name IS NULL THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END
+                    AS updated_at)
+  FROM records)""", FLAT.format(records="newest"), f"updated_at partition_date {INDEXES}")
+_COPIES = RECORDS + """,
+copies AS (
+  SELECT record_id, updated_at, product_name FROM records
+  UNION ALL SELECT record_id, updated_at + INTERVAL 1 HOUR, product_name FROM records WHERE product_name IS NULL),
+delivered AS (
+  SELECT record_id, updated_at, CASE CAST(record_id AS BIGINT) % 7 % 3 WHEN 1 THEN 1 WHEN 0 THEN 2 ELSE 3 END AS delivery FROM copies),
+judged AS (
+  SELECT d.*, coalesce(updated_at < (SELECT max(e.updated_at) FROM delivered e WHERE e.delivery < d.delivery) - INTERVAL 30 MINUTE, false) AS late
+  FROM delivered d)"""
+ORACLES["stream_late"] = shaped(_COPIES, """
+SELECT record_id, max(updated_at) AS updated_at, 'newest' AS kind FROM judged WHERE NOT late GROUP BY record_id
+UNION ALL SELECT record_id, updated_at, 'late' FROM judged WHERE late""", "updated_at")
+
 # --- facts in validity ranges -----------------------------------------------------------
 
 ORACLES["orders_contract_version"] = shaped(CONTRACTS, """

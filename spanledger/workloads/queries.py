@@ -18,6 +18,7 @@ from spanledger.sources import ddl, readers, writers
 from spanledger.sources.ranged import RANGE, RangedTable
 from spanledger.sources.scratch import durable, fresh_path
 from spanledger.streaming.flatten_stream import flatten_stream, read_record_stream
+from spanledger.streaming.newest_stream import newest_stream, read_late, read_newest
 from spanledger.workloads import views
 from spanledger.workloads.views import RUN_DATE, RUN_TS
 
@@ -624,6 +625,30 @@ def stream_flatten(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def _streamed_in_three(spark, sf_dir, delay):
+    """Resent records out of order, in three deliveries; the stream is stopped and started again after each one."""
+    feed, target, state = (fresh_path(spark, n) for n in ("feed", "newest", "stream-state"))
+    records = durable(views.json_records_resent(spark, sf_dir), "records")
+    for delivery in (1, 0, 2):
+        records.filter(F.col("record_id").cast("bigint") % 7 % 3 == delivery).write.mode("append").parquet(feed)
+        newest_stream(read_record_stream(spark, feed, records.schema), target, state, delay=delay).awaitTermination()
+    return target
+
+
+@query
+def stream_newest(spark, sf_dir):
+    """With a year's delay nothing is late: what de-duplication gives for all deliveries together."""
+    return flatten.flatten_json(read_newest(spark, _streamed_in_three(spark, sf_dir, "365 days")))
+
+
+@query
+def stream_late(spark, sf_dir):
+    """With half an hour's delay: newest copies and the side table of late ones."""
+    target = _streamed_in_three(spark, sf_dir, "30 minutes")
+    return read_newest(spark, target).select("record_id", "updated_at", F.lit("newest").alias("kind")).unionByName(
+        read_late(spark, target).select("record_id", "updated_at", F.lit("late").alias("kind")))
+
+
 # --- profiling --------------------------------------------------------------------------
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
