@@ -72,12 +72,22 @@ def publish_snapshot(df: DataFrame, root: str, version: str, view: str) -> str:
     """
     spark, path = df.sparkSession, f"{root.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(path)
-    step = 1 + (_pointers(spark, root).agg(F.max("step")).first()[0] or 0)
-    spark.createDataFrame([(step, version)], _POINTER).write.mode("append").parquet(_pointer_path(root))
+    point_to_version(spark, root, version)
     spark.read.parquet(path).createOrReplaceTempView(view)
     return path
 
 
+def point_to_version(spark: SparkSession, root: str, version: str) -> None:
+    """Make a stored version the current one; one appended row, so a failure leaves the old one current."""
+    step = 1 + (_pointers(spark, root).agg(F.max("step")).first()[0] or 0)
+    spark.createDataFrame([(step, version)], _POINTER).write.mode("append").parquet(_pointer_path(root))
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version published last, None before the first."""
+    return _pointers(spark, root).agg(F.max_by("version", "step")).first()[0]
+
+
 def _pointer_path(root: str) -> str:
     return f"{root.rstrip('/')}/published"
 
@@ -94,7 +104,7 @@ def _pointers(spark: SparkSession, root: str) -> DataFrame:
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The version published last, from any session."""
-    newest = _pointers(spark, root).agg(F.max_by("version", "step")).first()[0]
+    newest = current_version(spark, root)
     if newest is None:
         raise ValueError(f"nothing is published in {root}")
     return spark.read.parquet(f"{root.rstrip('/')}/version={newest}")

@@ -692,3 +692,39 @@ ORACLES["profile_over_time"] = "\nUNION ALL\n".join(f"""
 SELECT CAST(year(l_shipdate) AS VARCHAR) AS ship_year, '{c}' AS column_name, count(*) AS total_count, count(*) - count({c}) AS null_count,
        CAST(min({c}) AS DOUBLE) AS min_number, CAST(max({c}) AS DOUBLE) AS max_number, round(avg({c}), 3) AS avg_value
 FROM lineitem GROUP BY 1""" for c, t in _SKETCHED)
+
+# --- writes that are audited before they are shown ----------------------------------------
+
+_AUDITED = """
+source AS (
+  SELECT o_orderkey AS order_key, o_orderkey % 50 = 0 AS no_name, CAST(round(c_acctbal, 2) AS DECIMAL(12,2)) < 0 AS negative,
+         CAST(o_orderdate AS DATE) >= DATE '2001-06-01' AS late, o_orderkey % 11 <> 0 AS not_open
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+versions AS (
+  SELECT 'v1' AS version, * FROM source UNION ALL SELECT 'v2', * FROM source WHERE order_key % 2 = 0
+  UNION ALL SELECT 'v3', * FROM source UNION ALL SELECT 'v3', * FROM source WHERE order_key % 100 = 1)"""
+ORACLES["audited_verdicts"] = shaped(_AUDITED + """,
+counted AS (
+  SELECT version, count(*) AS n, count(*) FILTER (no_name OR negative OR late) AS bad, count(*) FILTER (no_name) AS no_name,
+         count(*) FILTER (negative) AS negative, count(*) FILTER (late) AS late, count(*) FILTER (not_open) AS not_open
+  FROM versions GROUP BY version),
+repeated AS (
+  SELECT version, count(*) FILTER (k > 1) AS k FROM (
+    SELECT version, order_key, count(*) AS k FROM versions WHERE NOT (no_name OR negative OR late) GROUP BY ALL) GROUP BY version),
+verdicts AS (
+  SELECT version, 'not_null' AS check_name, 'contract_id' AS subject, 0 AS failures, 'error' AS severity FROM counted
+  UNION ALL SELECT version, 'not_null', 'external_contract_id', no_name, 'error' FROM counted
+  UNION ALL SELECT version, 'expression_is_true', 'amount_not_negative', negative, 'error' FROM counted
+  UNION ALL SELECT version, 'expression_is_true', 'open_end', not_open, 'warn' FROM counted
+  UNION ALL SELECT version, 'expression_is_true', 'starts_in_time', late, 'error' FROM counted
+  UNION ALL SELECT version, 'unique', 'order_key', k, 'error' FROM repeated)""", """
+SELECT version, check_name, subject, failures, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status, severity,
+       version = 'v1' AS published, n - bad AS n_good, bad AS n_quarantined
+FROM verdicts JOIN counted USING (version)""")
+ORACLES["audited_rows"] = shaped(_AUDITED, """
+SELECT order_key, 'published' AS kind, '' AS failed FROM versions WHERE version = 'v1' AND NOT (no_name OR negative OR late)
+UNION ALL
+SELECT order_key, 'quarantined',
+       concat_ws(' ', CASE WHEN no_name THEN 'not_null(external_contract_id)' END, CASE WHEN negative THEN 'expression_is_true(amount_not_negative)' END,
+                 CASE WHEN not_open THEN 'expression_is_true(open_end)' END, CASE WHEN late THEN 'expression_is_true(starts_in_time)' END)
+FROM versions WHERE version = 'v2' AND (no_name OR negative OR late)""")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from spanledger.functions import dates, keys
 from spanledger.operators import consolidate, flatten, identifiers, incremental, intervals, marts, profile_store, profiling, quality, reports, scd2
 from spanledger.operators.anomalies import kmeans_anomalies, kmeans_distances
-from spanledger.plans import batch, checks, contract_load, record_load
+from spanledger.plans import audited_write, batch, checks, contract_load, record_load
 from spanledger.plans.profiling_run import data_profiling
 from spanledger.schemas import CONTRACT_COLUMNS, CONTRACT_KEY, CONTROL_LOG, FLATTENED_RECORDS, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 from spanledger.sources import ddl, readers, writers
@@ -998,3 +998,40 @@ def profile_over_time(spark, sf_dir):
     store, _, _ = _profiled_by_year(spark, sf_dir)
     return profile_store.profile_over_time(spark, store).select(
         F.col("partition").alias("ship_year"), "column_name", "total_count", "null_count", "min_number", "max_number", F.round("avg_value", 3).alias("avg_value"))
+
+
+# --- writes that are audited before they are shown ----------------------------------------
+
+AUDITED = checks.ModelChecks(
+    not_null=("contract_id", "external_contract_id"), unique=(("order_key",),), warn=("open_end",),
+    expressions={"amount_not_negative": "amount >= 0", "open_end": f"{TO_DATE} = date'{OPEN_END}'", "starts_in_time": f"{FROM_DATE} < date'2001-06-01'"})
+
+
+def _audited(spark, sf_dir):
+    """Three versions of the contracts: one that the tolerance lets through, one it does not, one with repeated keys."""
+    root = fresh_path(spark, "audited")
+    rows = _table(spark, sf_dir, "orders").join(_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("contract_id"),
+        F.when(F.col("o_orderkey") % 50 != 0, F.concat(F.lit("EXT"), "o_custkey")).alias("external_contract_id"),
+        F.round("c_acctbal", 2).cast("decimal(12,2)").alias("amount"), F.to_date("o_orderdate").alias(FROM_DATE),
+        F.when(F.col("o_orderkey") % 11 == 0, dates.date_lit(OPEN_END)).otherwise(F.last_day("o_orderdate")).alias(TO_DATE))
+    results = [audited_write.write_audited(rows, root, "v1", AUDITED, tolerance=0.9), audited_write.write_audited(rows.filter("order_key % 2 = 0"), root, "v2", AUDITED),
+               audited_write.write_audited(rows.unionByName(rows.filter("order_key % 100 = 1")), root, "v3", AUDITED, tolerance=0.9)]
+    return root, results
+
+
+@query
+def audited_verdicts(spark, sf_dir):
+    """The stored verdicts of the versions, with the rows that each has put aside."""
+    root, results = _audited(spark, sf_dir)
+    sizes = spark.createDataFrame([(f"v{i}", r.n_good, r.n_quarantined) for i, r in enumerate(results, 1)], "version string, n_good long, n_quarantined long")
+    return audited_write.read_audits(spark, root).join(sizes, "version")
+
+
+@query
+def audited_rows(spark, sf_dir):
+    """What readers see, and the quarantined rows of a version that is not shown."""
+    root, _ = _audited(spark, sf_dir)
+    seen = audited_write.read_published(spark, root).select("order_key", F.lit("published").alias("kind"), F.lit("").alias("failed"))
+    aside = audited_write.read_quarantine(spark, root, "v2").select("order_key", F.lit("quarantined").alias("kind"), F.concat_ws(" ", "failed_checks").alias("failed"))
+    return seen.unionByName(aside)
