@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanledger.functions.compare import any_of
+from spanledger.operators.gram import gram_correlation
 from spanledger.sources.scratch import durable
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -21,7 +22,7 @@ BRACKET_SKETCH = 4096  # items a KLL sketch keeps on a level; its rank error is
 BRACKET_MARGIN = 0.005  # share of the rows on either side of a wanted rank
 BRACKET_LEAST = 10_000  # values from which brackets pay
 WIDE_COLUMNS = 100  # columns of one aggregate pass
-WIDE_PAIRS = 500  # column pairs of one aggregate pass
+WIDE_PAIRS = 500  # column pairs up to which an aggregate pass is used
 _WITH_EXTREMES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -383,17 +384,24 @@ def iqr_outliers(
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of each column pair over rows where both are present.
 
-    One aggregate pass for each ``WIDE_PAIRS`` pairs, which reads their columns only.
+    NULL where no row has both or one of them is constant there. Up to ``WIDE_PAIRS`` pairs are one aggregate pass; more
+    are taken from Gram matrices, one scan for up to 1,000 columns (see ``gram``).
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    parts = []
-    for at in range(0, max(len(pairs), 1), WIDE_PAIRS):
-        some = pairs[at: at + WIDE_PAIRS]
-        scores = with_numbers(df, columns).agg(*[F.corr(_ref(a), _ref(b)).alias(f"c{i}") for i, (a, b) in enumerate(some)])
-        parts.append(scores.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(f"c{i}").alias("correlation_score"))
-            for i, (a, b) in enumerate(some)]))))
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    numbers = with_numbers(df, columns)
+    if len(pairs) > WIDE_PAIRS:
+        return gram_correlation(numbers, columns)
+
+    def score(a: str, b: str) -> Column:
+        # Not corr(): on a constant column it fails in ANSI mode, or gives a number made of rounding errors.
+        x, y = F.when(_ref(b).isNotNull(), _ref(a)), F.when(_ref(a).isNotNull(), _ref(b))
+        vary = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        return F.when(vary, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+
+    scores = numbers.agg(*[score(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    return scores.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(f"c{i}").alias("correlation_score"))
+        for i, (a, b) in enumerate(pairs)])))
 
 
 def _log_plus_one(number: Column) -> Column:

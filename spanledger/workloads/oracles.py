@@ -481,6 +481,13 @@ WITH u AS (SELECT l_orderkey, l_linenumber, l_extendedprice / l_quantity AS unit
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, 'unit_price' AS column_name, unit_price AS value,
        round(a - 1.5 * (b - a), 4) AS lower_bound, round(b + 1.5 * (b - a), 4) AS upper_bound
 FROM u, q WHERE unit_price < a - 1.5 * (b - a) OR unit_price > b + 1.5 * (b - a)"""
+_DERIVED = [(f"{m}_{k}", f"CASE WHEN l_orderkey % {k + 3} <> 0 THEN {m} * {k + 1} + l_linenumber * {k} * 10 END AS {m}_{k}")
+            for k in range(10) for m in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+ORACLES["correlation_wide"] = (
+    "WITH derived AS (SELECT " + ", ".join(e for _, e in _DERIVED) + " FROM lineitem), scores AS (SELECT [" + ", ".join(
+        f"{{'col1': '{a}', 'col2': '{b}', 'correlation_score': round(corr({a}, {b}), 6)}}"
+        for i, (a, _) in enumerate(_DERIVED) for b, _ in _DERIVED[i + 1:]) + "] AS s FROM derived) "
+    "SELECT u.col1, u.col2, u.correlation_score FROM (SELECT unnest(s) AS u FROM scores)")
 ORACLES["correlation_matrix"] = "\nUNION ALL\n".join(
     f"SELECT '{a}' AS col1, '{b}' AS col2, round(corr({a}, {b}), 6) AS correlation_score FROM lineitem"
     for i, a in enumerate(MEASURES) for b in MEASURES[i + 1:])

@@ -753,6 +753,15 @@ def data_profiling_pairs(spark, sf_dir):
         F.round("skewness", 4).alias("skewness")))
 
 
+@query
+def correlation_wide(spark, sf_dir):
+    """780 pairs of forty derived columns with gaps of their own."""
+    line = F.col("l_linenumber")
+    derived = {f"{m}_{k}": F.when(F.col("l_orderkey") % (k + 3) != 0, F.col(m) * (k + 1) + line * k * 10) for k in range(10) for m in MEASURES}
+    rows = _table(spark, sf_dir, "lineitem").select(*[c.alias(n) for n, c in derived.items()])
+    return _rounded(profiling.correlation_matrix(rows, list(derived)), 6)
+
+
 @query
 def correlation_matrix(spark, sf_dir):
     return _rounded(profiling.correlation_matrix(_table(spark, sf_dir, "lineitem"), MEASURES), 6)
