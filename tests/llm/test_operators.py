@@ -297,7 +297,7 @@ def test_packing_odd(odd, none):
 
 def test_sharding(docs):
     rows = dict(corpus())
-    got = sharding.shard_documents(docs, 4, fineness=16).collect()
+    got = sharding.shard_documents(docs, 4).collect()
     assert {r.doc_id: (r.size, r.text_crc32) for r in got} == {i: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows.items()}
     by_text, by_shard = defaultdict(set), defaultdict(list)
     for r in got:
