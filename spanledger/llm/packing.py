@@ -281,10 +281,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     A null or empty text is the end id alone. Every row of ``docs`` is packed, repeated rows and null ids too. Only pieces
     of one document longer than ``capacity`` are cut. An empty table gives no rows.
     """
-    pieces = durable(token_pieces(docs, tokenizer, capacity), "pieces")
+    # The stored row number tells repeated rows apart, the same at every later read.
+    pieces = durable(token_pieces(docs, tokenizer, capacity).withColumn("_row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     slots = _slots(plan_sequences(counts, capacity))
-    ranked = rank_within(pieces, "length", ["doc_id", "piece", "ids_crc32"], "_rank", sum(counts.values()))
-    columns = pieces.columns
+    ranked = rank_within(pieces, "length", ["doc_id", "piece", "ids_crc32", "_row"], "_rank", sum(counts.values()))
+    columns = [c for c in pieces.columns if c != "_row"]
     return ranked.mapInArrow(lambda b: _placed(b, slots, columns),
                              "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
