@@ -651,6 +651,11 @@ SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS
        CAST(0 AS BIGINT) AS n_farther
 FROM lineitem"""
 
+ORACLES["kmeans_stored"] = """
+SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, 'v1' AS model_version, CAST(0 AS BIGINT) AS n_bad_distances, true AS same_model,
+       'v2' AS newest, CAST(4 AS BIGINT) AS n_centres
+FROM lineitem"""
+
 # --- newest copies as a stream -------------------------------------------------------------
 
 ORACLES["stream_newest"] = shaped(RECORDS + """,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanledger.functions import dates, keys
-from spanledger.operators import consolidate, flatten, identifiers, incremental, intervals, marts, profile_store, profiling, quality, reports, scd2
+from spanledger.operators import consolidate, flatten, identifiers, incremental, intervals, marts, profile_store, profiling, quality, reports, scd2, stored_model
 from spanledger.operators.anomalies import kmeans_anomalies, kmeans_distances
 from spanledger.plans import audited_write, batch, checks, contract_load, record_load
 from spanledger.plans.profiling_run import data_profiling
@@ -798,6 +798,23 @@ def kmeans_facts(spark, sf_dir):
         F.greatest(F.count_if(F.col("distance") > least + 1e-9) - 9, F.lit(0)).alias("n_farther"))
 
 
+@query
+def kmeans_stored(spark, sf_dir):
+    """A model fitted to half of the orders, loaded in another session, scores all lines; then a second version replaces it."""
+    columns, carry, root = ["l_quantity", "l_extendedprice"], ["l_orderkey", "l_linenumber"], fresh_path(spark, "kmeans")
+    lineitem = _table(spark, sf_dir, "lineitem")
+    first = stored_model.fit_and_store(lineitem.filter("l_orderkey % 2 = 0"), columns, root, "v1")
+    other = spark.newSession()
+    again = stored_model.load_model(other, root)
+    scored = stored_model.score_with(_table(other, sf_dir, "lineitem"), again, carry)
+    stored_model.fit_and_store(lineitem.filter("l_orderkey % 2 = 1"), columns, root, "v2", k=4)
+    newest, old = stored_model.load_model(spark, root), stored_model.load_model(spark, root, "v1")
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.count_distinct("cluster_label").alias("n_clusters"), F.max("model_version").alias("model_version"),
+        F.count_if(F.isnan("distance") | F.col("distance").isNull() | (F.col("distance") < 0)).alias("n_bad_distances"),
+        F.lit(first == again and first == old).alias("same_model"), F.lit(newest.version).alias("newest"), F.lit(len(newest.centres)).alias("n_centres"))
+
+
 # --- data quality -------------------------------------------------------------------------
 
 @query
