@@ -740,3 +740,12 @@ SELECT order_key, 'quarantined',
        concat_ws(' ', CASE WHEN no_name THEN 'not_null(external_contract_id)' END, CASE WHEN negative THEN 'expression_is_true(amount_not_negative)' END,
                  CASE WHEN not_open THEN 'expression_is_true(open_end)' END, CASE WHEN late THEN 'expression_is_true(starts_in_time)' END)
 FROM versions WHERE version = 'v2' AND (no_name OR negative OR late)""")
+
+# --- schemas that change --------------------------------------------------------------------
+
+ORACLES["schema_evolution"] = """
+SELECT c_custkey AS customer_id, c_name AS full_name,
+       CASE WHEN c_custkey % 3 < 2 THEN CAST(CAST(round(c_acctbal, 2) AS DECIMAL(12,2)) AS DOUBLE) END AS balance,
+       CASE c_custkey % 3 WHEN 0 THEN -1 - c_custkey % 5 WHEN 1 THEN CAST(c_nationkey AS BIGINT) END AS nation,
+       CASE WHEN c_custkey % 3 = 2 THEN 'new' END AS note
+FROM customer"""

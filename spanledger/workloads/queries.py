@@ -15,7 +15,8 @@ from spanledger.plans import audited_write, batch, checks, contract_load, record
 from spanledger.plans.profiling_run import data_profiling
 from spanledger.schemas import CONTRACT_COLUMNS, CONTRACT_KEY, CONTROL_LOG, FLATTENED_RECORDS, FROM_DATE, IDENTIFIER, OPEN_END, TO_DATE
 from spanledger.sources import ddl, readers, writers
-from spanledger.sources.ranged import RANGE, RangedTable
+from spanledger.sources.evolving import EvolvingTable
+from spanledger.sources.ranged import RangedTable
 from spanledger.sources.scratch import durable, fresh_path
 from spanledger.streaming.flatten_stream import flatten_stream, read_record_stream
 from spanledger.streaming.newest_stream import newest_stream, read_late, read_newest
@@ -1061,3 +1062,21 @@ def audited_rows(spark, sf_dir):
     seen = audited_write.read_published(spark, root).select("order_key", F.lit("published").alias("kind"), F.lit("").alias("failed"))
     aside = audited_write.read_quarantine(spark, root, "v2").select("order_key", F.lit("quarantined").alias("kind"), F.concat_ws(" ", "failed_checks").alias("failed"))
     return seen.unionByName(aside)
+
+
+# --- schemas that change --------------------------------------------------------------------
+
+@query
+def schema_evolution(spark, sf_dir):
+    """Customers written under three schemas, read as one table: renamed, widened, added with a default, dropped, used anew."""
+    schema = lambda ddl: spark.createDataFrame([], ddl).schema
+    source = _table(spark, sf_dir, "customer").withColumn("third", F.col("c_custkey") % 3)
+    table = EvolvingTable.create(spark, fresh_path(spark, "evolving"), schema("id int, name string, balance decimal(12,2), note string"))
+    part = lambda k, *columns: source.filter(F.col("third") == k).select(*columns)
+    balance = F.round("c_acctbal", 2).cast("decimal(12,2)")
+    table.append(part(0, F.col("c_custkey").cast("int").alias("id"), F.col("c_name").alias("name"), balance.alias("balance"), F.lit("old").alias("note")))
+    table.evolve(schema("id bigint, full_name string, balance decimal(14,3), nation bigint"), {"name": "full_name"}, {"nation": "-1 - id % 5"})
+    table.append(part(1, F.col("c_custkey").alias("id"), F.col("c_name").alias("full_name"), balance.cast("decimal(14,3)").alias("balance"), F.col("c_nationkey").cast("bigint").alias("nation")))
+    table.evolve(schema("customer_id bigint, full_name string, balance decimal(14,3), nation bigint, note string"), {"id": "customer_id"})
+    table.append(part(2, F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("full_name"), F.lit("new").alias("note")))
+    return table.read()
