@@ -749,3 +749,17 @@ SELECT c_custkey AS customer_id, c_name AS full_name,
        CASE c_custkey % 3 WHEN 0 THEN -1 - c_custkey % 5 WHEN 1 THEN CAST(c_nationkey AS BIGINT) END AS nation,
        CASE WHEN c_custkey % 3 = 2 THEN 'new' END AS note
 FROM customer"""
+
+# --- macros in SQL ---------------------------------------------------------------------------
+
+ORACLES["sql_macros_rows"] = shaped("""
+d AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders)""", """
+SELECT o_orderkey, strftime(d - 1, '%Y%m') AS lag_period, strftime(d - 1, '%Y-%m-%d') AS yesterday,
+       (SELECT min(x) FROM (SELECT unnest([0, 1, 2]) AS i) t(i), (SELECT CAST(date_trunc('month', d) AS DATE) + i AS x)
+        WHERE isodow(x) < 6) AS first_working_day,
+       ('0x' || substr(md5(o_custkey || '-' || (100 + o_custkey % 7)), 1, 15))::BIGINT AS contract_hash,
+       md5(o_custkey || '-' || (100 + o_custkey % 7) || '-' || strftime(d, '%Y-%m-%d')) AS contract_key
+FROM d WHERE d >= DATE '1996-01-01'""", "first_working_day")
+ORACLES["sql_script"] = shaped(HISTORY, """
+SELECT territory_id, '199912' AS period, count(*) AS n_contracts, sum(amount) AS amount
+FROM history WHERE DATE '1999-12-31' BETWEEN effective_from_date AND effective_to_date GROUP BY territory_id""", double="amount")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanledger.functions import dates, keys
+from spanledger.functions import dates, keys, sql_macros
 from spanledger.operators import consolidate, flatten, identifiers, incremental, intervals, marts, profile_store, profiling, quality, reports, scd2, stored_model
 from spanledger.operators.anomalies import kmeans_anomalies, kmeans_distances
 from spanledger.plans import audited_write, batch, checks, contract_load, record_load
@@ -1080,3 +1080,30 @@ def schema_evolution(spark, sf_dir):
     table.evolve(schema("customer_id bigint, full_name string, balance decimal(14,3), nation bigint, note string"), {"id": "customer_id"})
     table.append(part(2, F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("full_name"), F.lit("new").alias("note")))
     return table.read()
+
+
+# --- macros in SQL ---------------------------------------------------------------------------
+
+@query
+def sql_macros_rows(spark, sf_dir):
+    """Every macro called from a SQL text, over the dates and keys of the orders."""
+    sql_macros.register_macros(spark)
+    _table(spark, sf_dir, "orders").createOrReplaceTempView("macro_orders")
+    return spark.sql("""
+        SELECT o_orderkey, lag_period(to_date(o_orderdate)) AS lag_period, get_dates('yesterday', to_date(o_orderdate)) AS yesterday,
+               first_working_day(to_date(o_orderdate)) AS first_working_day, contract_hash(o_custkey, 100 + o_custkey % 7) AS contract_hash,
+               contract_key(o_custkey, 100 + o_custkey % 7, to_date(o_orderdate)) AS contract_key
+        FROM macro_orders WHERE get_dates('today', to_date(o_orderdate)) >= '1996-01-01'""")
+
+
+@query
+def sql_script(spark, sf_dir):
+    """A SQL script with a variable that calls a table function: the contracts valid on one day, by territory."""
+    views.history(spark, sf_dir).createOrReplaceTempView("macro_history")
+    sql_macros.register_macros(spark, "macro_history")
+    return spark.sql("""
+        BEGIN
+          DECLARE wanted DATE DEFAULT DATE'1999-12-31';
+          SELECT territory_id, lag_period(wanted) AS period, count(*) AS n_contracts, sum(amount) AS amount
+          FROM contracts_on(wanted) GROUP BY territory_id;
+        END""")
