@@ -70,7 +70,7 @@ def load_in_ranges(
     staged = durable(staged, "staged")
     named = with_identifier(staged, new_map)
     table.recover()
-    changed = durable(changed_identifiers(table.read(table.ranges_of(named)), staged, new_map, preset, **options), "changed-ids")
+    changed = durable(changed_identifiers(table.read(table.touched(named)), staged, new_map, preset, **options), "changed-ids")
     # Staged rows of identifiers that do not change would pass through the load without effect.
     rows = named.join(changed, IDENTIFIER, "left_semi").drop(IDENTIFIER)
     return RangedLoad(new_map, table.rewrite(changed, lambda prior: scd2_apply(prior, rows, new_map, run_date, preset, **options)))

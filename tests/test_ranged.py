@@ -138,6 +138,60 @@ def test_a_hot_key_takes_several_files(spark, conf):
     assert len(files(table)) > 1 and table.read().count() == 200_000
 
 
+@pytest.fixture
+def narrow(spark):
+    """900 ranges of one key with two rows each, from -300 on: far fewer folders."""
+    data = spark.range(1800).select((F.col("id") % 900 - 300).alias("k"), F.col("id").alias("v"), F.lit("a").alias("note"))
+    return RangedTable.create(data, fresh_path(spark, "ranged"), "k", 1)
+
+
+def test_narrow_ranges_share_folders(spark, narrow):
+    folders = sorted({folder(p) for p in files(narrow)})
+    assert len(folders) <= 280 and all(f % 2 == 0 for f in folders)
+    assert rows(narrow.index(), "low", "n_rows", "step") == sorted([(i, 2, 0) for i in range(-300, 600)], key=str)
+    assert rows(narrow.read([-299, 7, 9999]), "k") == [(-299,), (-299,), (7,), (7,)]
+    assert narrow.read().columns == ["k", "v", "note"]
+
+
+def test_a_rewrite_leaves_other_ranges_of_its_folder(spark, narrow):
+    before, seen = files(narrow), []
+    again = RangedTable.open(spark, narrow.path)
+    assert again.folder_bits == narrow.folder_bits > 0
+
+    def change(prior):
+        seen.extend(rows(prior, "k"))
+        return prior.withColumn("note", F.lit("b"))
+
+    assert again.rewrite(keys(spark, -299, 7), change) == [-299, 7]
+    assert seen == [(-299,)] * 2 + [(7,)] * 2
+    assert {p for p in files(narrow) if p not in before} and len(set(before) & set(files(narrow))) >= len(before) - 2
+    assert rows(narrow.read().filter("note = 'b'"), "k") == [(-299,)] * 2 + [(7,)] * 2 and narrow.read().count() == 1800
+    assert rows(narrow.index().filter("step = 1"), RANGE) == [(-299,), (7,)] and narrow.index().count() == 900
+
+
+def test_emptied_ranges_and_folders_of_narrow_ranges(spark, narrow):
+    whole = 1 << narrow.folder_bits
+    narrow.rewrite(keys(spark, 1), lambda prior: prior.limit(0))                 # one range of a folder
+    narrow.rewrite(keys(spark, *range(whole, 2 * whole)), lambda prior: prior.limit(0))  # all of one
+    gone = {1, *range(whole, 2 * whole)}
+    assert {r["k"] for r in narrow.read().collect()} == set(range(-300, 600)) - gone
+    back = spark.createDataFrame([(whole, 5, "back")], narrow.read().schema)
+    narrow.rewrite(back.select("k"), lambda prior: prior.unionByName(back))
+    assert rows(narrow.read().filter(f"k between {whole} and {2 * whole - 1}")) == [(whole, 5, "back")]
+    with pytest.raises(ValueError, match="outside"):
+        narrow.rewrite(keys(spark, 8), lambda prior: prior.withColumn("k", F.lit(9).cast("long")))
+
+
+@pytest.mark.parametrize("place", ["staged", "announced", "placed"])
+def test_a_cut_off_step_of_narrow_ranges(spark, narrow, place):
+    with pytest.raises(Crash):
+        narrow.rewrite(keys(spark, 10, 500), mark("b"), crash_at(place))
+    again = RangedTable.open(spark, narrow.path)
+    again.recover()
+    assert again.read().filter("note = 'b'").count() == (0 if place == "staged" else 4) and again.read().count() == 1800
+    assert again.rewrite(keys(spark, 11), mark("c")) == [11] and again.read().count() == 1800
+
+
 # --- loads ---------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("preset", sorted(PRESETS))
