@@ -102,3 +102,37 @@ def test_hot_record_and_composite_key(spark, place):
     other = [fresh_path(spark, n) for n in ("feed", "target", "state")]
     deliver(spark, other, [copy("a", 1, 4), copy("a", 2, 4), copy("a", 1, 8)], key=["record_id", "n"])
     assert rows(read_newest(spark, other[1], ["record_id", "n"]), "n") == [(4,), (8,)]
+
+
+def test_python_is_called_for_groups_of_records(spark, place):
+    """The entries of the state do not grow with the records; each record still has its own newest copy and late ones."""
+    from spanledger.streaming.newest_stream import GROUPS
+
+    def send(n, minutes):
+        made = spark.range(n).select(
+            F.col("id").cast("string").alias("record_id"),
+            (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(mins=F.lit(minutes) - F.col("id").cast("int") % 30)).alias("updated_at"),
+            F.col("id").alias("n"), F.lit(None).cast("decimal(10,2)").alias("price"), F.lit(None).cast("array<string>").alias("tags"),
+            F.lit(None).cast("timestamp").alias("seen"))
+        made.write.mode("append").parquet(place[0])
+        query = newest_stream(read_record_stream(spark, place[0], made.schema), place[1], place[2], delay="10 minutes")
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    assert send(9000, 100) <= GROUPS < 9000
+    assert send(3000, 110) <= GROUPS
+    late = [i for i in range(3000) if 110 - i % 30 < 100 - 10]
+    newest = read_newest(spark, place[1])
+    assert newest.count() == 9000 and rows(read_late(spark, place[1]), "n") == sorted([(i,) for i in late], key=str)
+    newer = newest.filter(F.col("updated_at") == F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(mins=110 - F.col("n").cast("int") % 30))
+    assert newer.count() == 3000 - len(late)
+
+
+def test_keys_of_any_value_stay_apart(spark, place):
+    """Missing and empty keys, keys that look like others' text, and one zero."""
+    schema = "a string, b double, updated_at timestamp_ntz, n long"
+    given = [(None, None), ("", None), (None, 0.0), (None, -0.0), ("a,b", 1.0), ("a", 1.0), ('"a"', 1.0), ("{}", None), ("é\n", float("nan"))]
+    df = spark.createDataFrame([(*k, START + dt.timedelta(minutes=i), i) for i, k in enumerate(given)], schema)
+    df.write.parquet(place[0])
+    newest_stream(read_record_stream(spark, place[0], df.schema), *place[1:], key=["a", "b"]).awaitTermination()
+    assert rows(read_newest(spark, place[1], ["a", "b"]), "n") == [(i,) for i in range(len(given)) if i != 2]
