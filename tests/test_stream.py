@@ -1,4 +1,5 @@
 from conftest import SF_DIR, rows
+from pyspark.sql import functions as F
 
 from spanledger.operators.flatten import flatten_json
 from spanledger.sources.scratch import fresh_path
@@ -26,3 +27,18 @@ def test_stream_equals_batch_and_continues_where_it_stopped(spark):
     # Nothing new: nothing read, nothing written twice.
     assert run() == 0
     assert spark.read.parquet(target).count() == flatten_json(records).count()
+
+
+def test_one_large_file_is_flattened_by_several_tasks(spark, conf):
+    """The tasks do not follow the files: records of one file, all of one date, are dealt to several."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    feed, target, state = (fresh_path(spark, n) for n in ("feed", "target", "state"))
+    records = spark.range(400).select(
+        F.col("id").cast("string").alias("record_id"), F.lit("2024-01-05 10:00:00").cast("timestamp_ntz").alias("updated_at"),
+        F.concat(F.lit('{"name": "n'), "id", F.lit('", "contacts": ["a", "b"]}')).alias("json_field"))
+    records.coalesce(1).write.parquet(feed)
+    flatten_stream(read_record_stream(spark, feed, records.schema), target, state).awaitTermination()
+    found, expected = spark.read.parquet(target), flatten_json(records)
+    assert rows(found.select(*expected.columns)) == rows(expected)
+    sizes = [r["count"] for r in found.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 800
