@@ -17,6 +17,7 @@ PLAIN_RANGES = 100
 _WIDTH_BITS = 2
 _LEVEL, _BIN, _PIECE = "_bin_level", "_bin", "_bin_piece"
 _DAY, _FIRST, _LAST, _ROW = "_fact_day", "_range_first", "_range_last", "_fact_row"
+N_RANGES = "n_ranges"
 
 
 def interval_join(
@@ -29,6 +30,7 @@ def interval_join(
     how: str = "inner",
     plain_ranges: int = PLAIN_RANGES,
     hot_rows: int = HOT_GROUP_ROWS,
+    totals: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every fact with every range of its keys that holds its day, both ends included; all ranges if there are no keys.
 
@@ -41,14 +43,18 @@ def interval_join(
     most eight times the ranges that hold it (when lengths spread evenly), be they days or decades. Open ends are cut at
     the last fact first. Bins with more than ``hot_rows`` facts are cut in pieces, each of which meets all ranges of the
     bin.
+
+    With ``totals``, columns of ``ranges`` that are not keys, each fact comes once, with the number of its ranges in
+    ``n_ranges`` and the sums of these columns over them, and no pair is made: each range is cut into the few whole bins
+    of 1, 2, 4, … days that it consists of, a bin's ranges are added up, and a day adds up its bins of every width.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     keys = list(keys)
-    shared = (set(facts.columns) & set(ranges.columns)) - set(keys)
+    shared = (set(facts.columns) & {*ranges.columns, *([] if totals is None else [N_RANGES])}) - set(keys)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
-    if how == "left":
+    if how == "left" and totals is None:
         facts = durable(facts.withColumn(_ROW, F.monotonically_increasing_id()), "interval-facts")
     columns = [*facts.columns, *(c for c in ranges.columns if c not in keys)]
     bounds = facts.agg(F.min(at).cast("date").alias("first"), F.max(at).cast("date").alias("last"), F.count(F.lit(1)).alias("n")).first()
@@ -56,6 +62,10 @@ def interval_join(
     cut = ranges.withColumn(_FIRST, F.unix_date(F.greatest(F.col(from_col).cast("date"), F.lit(bounds["first"]))))
     cut = cut.withColumn(_LAST, F.unix_date(F.least(F.col(to_col).cast("date"), F.lit(bounds["last"]))))
     cut = cut.filter(F.col(from_col).isNotNull() & F.col(to_col).isNotNull() & (F.col(_FIRST) <= F.col(_LAST)))
+    if totals is not None:
+        span = (bounds["last"] - bounds["first"]).days + 1 if bounds["first"] else 1
+        found = timed.join(_day_totals(timed, cut, keys, list(totals), span.bit_length()), [*keys, _DAY], how)
+        return found.withColumn(N_RANGES, F.coalesce(N_RANGES, F.lit(0))).select(*facts.columns, N_RANGES, *totals)
 
     parts = []
     if keys:
@@ -83,6 +93,22 @@ def _bin_of(day: Column, level: int) -> Column:
     return F.shiftright(day, _WIDTH_BITS * level)
 
 
+def _day_totals(facts: DataFrame, ranges: DataFrame, keys: list[str], totals: list[str], n_levels: int) -> DataFrame:
+    """Number of ranges and sums of ``totals`` for every key and day of ``facts`` that some range holds; bins of level k are 2^k days."""
+    whole, own = [], []
+    for k in range(n_levels):
+        bin_at = lambda at, k=k: F.struct(F.lit(k).alias(_LEVEL), at.alias(_BIN))
+        # From the first bin that lies in the range to the one after the last; odd ends are not in a bin of the next level.
+        start, stop = -F.shiftright(-F.col(_FIRST), k), F.shiftright(F.col(_LAST) + 1, k)
+        whole += [F.when((start < stop) & (start.bitwiseAND(1) == 1), bin_at(start)), F.when((start < stop) & (stop.bitwiseAND(1) == 1), bin_at(stop - 1))]
+        own.append(bin_at(F.shiftright(F.col(_DAY), k)))
+    on = [*keys, _LEVEL, _BIN]
+    bins = ranges.select(*keys, *totals, F.inline(F.array_compact(F.array(*whole)))).groupBy(*on).agg(
+        F.count(F.lit(1)).alias(N_RANGES), *[F.sum(c).alias(c) for c in totals])
+    days = facts.select(*keys, _DAY).filter(F.col(_DAY).isNotNull()).distinct().select("*", F.inline(F.array(*own)))
+    return days.join(bins, on).groupBy(*keys, _DAY).agg(F.sum(N_RANGES).alias(N_RANGES), *[F.sum(c).alias(c) for c in totals])
+
+
 def _by_bins(facts: DataFrame, ranges: DataFrame, keys: list[str], n_facts: int, hot_rows: int) -> DataFrame:
     length = F.col(_LAST) - F.col(_FIRST) + 1
     level = sum((F.when(length > (1 << _WIDTH_BITS * k), 1).otherwise(0) for k in range(12)), F.lit(0))

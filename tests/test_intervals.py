@@ -125,3 +125,67 @@ def test_few_false_candidates(spark):
         patch.setattr(m, "_holds", lambda: F.lit(True))
         met = interval_join(facts, ranges.drop("k"), "day").count()
     assert pairs <= met <= 4 * pairs
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_totals_against_every_pair(spark, keyed, how):
+    """Repeated facts and NULL or missing sides too; sums leave NULLs out."""
+    facts, ranges = samples(6)
+    facts += facts[:20]
+    found = joined(spark, facts, ranges, keyed, how, totals=["name"])
+    assert found.columns == ["fact", "k", "day", "n_ranges", "name"]
+    wanted = []
+    for f, k, d in facts:
+        hits = [n for rk, n, a, b in ranges if None not in (d, a, b) and a <= d <= b and (not keyed or (k is not None and rk == k))]
+        if hits or how == "left":
+            wanted.append((f, d, len(hits), sum(hits) if hits else None))
+    assert rows(found, "fact", "day", "n_ranges", "name") == sorted(wanted, key=str)
+
+
+def test_totals_of_every_length_at_every_offset(spark):
+    """Around the epoch; each length by itself, so that a bin too many or too few shows."""
+    base = (dt.date(1970, 1, 1) - BASE).days
+    facts = [(i, n, day(base + d)) for n in range(0, 40, 3) for i, d in enumerate(range(-45, 45))]
+    ranges = [(n, 1 << (a + 20), day(base + a), day(base + a + n)) for a in range(-20, 20, 3) for n in range(0, 40, 3)]
+    found = joined(spark, facts, ranges, True, "inner", totals=["name"])
+    wanted = [(f, k, sum(m for rk, m, a, b in ranges if rk == k and a <= d <= b)) for f, k, d in facts]
+    assert rows(found, "fact", "k", "name") == sorted([w for w in wanted if w[2]], key=str)
+
+
+def test_totals_of_empty_sides_and_bad_names(spark):
+    facts, ranges = samples(3, 20, 20)
+    for keyed in (True, False):
+        assert joined(spark, [], ranges, keyed, "left", totals=["name"]).isEmpty()
+        assert joined(spark, facts, [], keyed, "inner", totals=[]).isEmpty()
+        assert rows(joined(spark, facts, [], keyed, "left", totals=["name"]), "n_ranges", "name") == [(0, None)] * 20
+    with pytest.raises(ValueError, match="n_ranges"):
+        interval_join(spark.createDataFrame(facts, FACTS).withColumn("n_ranges", F.lit(1)), spark.createDataFrame(ranges, RANGES), "day", ["k"], totals=["name"])
+
+
+def test_totals_make_no_pairs(spark):
+    """A day of order counting: the rows that meet in the join are the days' bins, however many ranges hold them."""
+    days = spark.range(1000).select(F.date_add(F.lit(BASE), F.col("id").cast("int")).alias("day"))
+    ranges = spark.range(20_000).select(
+        F.col("id").alias("name"), F.lit(BASE).alias("effective_from_date"), F.date_add(F.lit(BASE), (F.col("id") % 1000).cast("int")).alias("effective_to_date"))
+    found = interval_join(days, ranges, "day", totals=["name"])
+    rows_made = final_rows(found)
+    assert found.agg(F.sum("n_ranges")).first()[0] == 20 * sum(range(1, 1001)) and rows_made < 400_000
+
+
+def final_rows(df):
+    """The largest number of rows that any operator made."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    most, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        metric = node.metrics().get("numOutputRows")
+        most = max(most, metric.get().value() if metric.isDefined() else 0)
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return most
