@@ -16,6 +16,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanledger.operators.anomalies import parts_for_fit
 from spanledger.operators.profiling import with_numbers
 from spanledger.sources.writers import current_version, point_to_version
 
@@ -45,7 +46,7 @@ def fit_and_store(df: DataFrame, columns: Sequence[str], root: str, version: str
         VectorAssembler(inputCols=list(columns), outputCol="raw_vector"),
         StandardScaler(inputCol="raw_vector", outputCol="vector", withMean=True, withStd=True),
         KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector", predictionCol="cluster_label")])
-    pipeline.fit(numbers).save(_model_path(root, version))
+    pipeline.fit(parts_for_fit(numbers, numbers.count())).save(_model_path(root, version))
     point_to_version(spark, root, version)
     return load_model(spark, root, version)
 

@@ -194,6 +194,30 @@ def test_farthest_rows(df):
     assert [r.id for r in top] == list(every.sort_values("distance", ascending=False).id[:5])
 
 
+def test_fit_in_parts(spark, df, monkeypatch, tmp_path):
+    """A table read by one task is fitted in parts of bounded size; the clusters are the same."""
+    import pyspark.ml.base as base
+
+    from spanledger.operators import anomalies
+    from spanledger.operators.stored_model import fit_and_store
+
+    fit, parts = base.Estimator.fit, []
+
+    def watched(self, dataset, params=None):
+        parts.append(max(r[0] for r in dataset.groupBy(F.spark_partition_id()).count().select("count").collect()))
+        return fit(self, dataset, params)
+
+    one = df.coalesce(1)
+    whole = rows(anomalies.kmeans_distances(one, ["x", "y"], carry=["id"]).select("id", F.round("distance", 1)))
+    monkeypatch.setattr(base.Estimator, "fit", watched)
+    monkeypatch.setattr(anomalies, "FIT_ROWS", 100, raising=False)
+    for standardize in (True, False):
+        scored = anomalies.kmeans_distances(one, ["x", "y"], carry=["id"], standardize=standardize)
+        assert scored.count() == 810 and (not standardize or rows(scored.select("id", F.round("distance", 1))) == whole)
+    fit_and_store(one, ["x", "y"], str(tmp_path), "v1")
+    assert len(parts) >= 3 and max(parts) < 200
+
+
 def test_whole_profile(df):
     out = data_profiling(df, clusters=2, carry=["id"], columns=["x", "y", "t"])
     assert set(out) == {"column_summary", "quartiles", "outliers", "skewness", "log_values", "correlation", "anomalies"}
