@@ -17,16 +17,17 @@ def _flipped(edges: DataFrame) -> DataFrame:
 def _star(edges: DataFrame, small: bool) -> DataFrame:
     """Link neighbours to the smallest one. ``edges`` holds u > v; so does the result.
 
-    Minimums combine map-side and the join on the hub may be split by skew handling, so a hub with most of the nodes
-    costs no more than other rows.
+    Minimums combine map-side, and are stored so that both sides of the join are plain shuffles, which skew handling may
+    split: a hub with most of the nodes costs no more than other rows.
     """
     if small:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        out = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        least = durable(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+        out = edges.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = out.union(least.select("u", F.col("m").alias("v")))
     else:
         both = edges.union(_flipped(edges))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        out = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = durable(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        out = both.filter("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         out = out.union(least.select("u", F.col("m").alias("v")))
     return out.filter("u > v").distinct()
 

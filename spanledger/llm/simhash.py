@@ -17,6 +17,10 @@ A, B and C one each       an index of A, a half of B, a half of C    up to 24
 Distinct fingerprints that share a key meet, and are compared exactly. Only what connects them is passed on: within a key
 each fingerprint links to the one that first reached it, so a group of n linked fingerprints leaves at most n - 1 links
 for a key. Keys with many members are cut into blocks, and pairs of blocks are separate tasks.
+
+Before it has run a stage, Spark sizes a table by its compressed files and takes a row's 43 keys for one row, so it would
+broadcast many times its limit. Stored tables that grow with the documents, and what is made of their rows, are therefore
+joined by sorting, here and in ``components``.
 """
 
 from __future__ import annotations
@@ -223,7 +227,7 @@ def similar_links(distinct: DataFrame, distance: int = MAX_DISTANCE, block: int
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    cells = (keyed.join(shared, "key").withColumn("own", own)
+    cells = (keyed.join(shared.hint("merge"), "key").withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp"))
     return (cells.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
@@ -238,14 +242,16 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, distance: int =
     """
     rows = durable(fingerprints(docs, width, seed), "fingerprints")
     classes = _components(rows, distance).select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return (rows.join(classes.hint("merge"), "fp")
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
 def _components(rows: DataFrame, distance: int) -> DataFrame:
     """(fp, root, component_id) for each fingerprint of ``rows`` (doc_id, fp); root is the component's own."""
     first = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("doc")), "distinct-fingerprints")
     roots = connected_components(similar_links(first, distance))
-    linked = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "doc", F.coalesce("root", "fp").alias("root"))
+    linked = (first.join(roots.hint("merge"), first["fp"] == roots["node"], "left")
+              .select("fp", "doc", F.coalesce("root", "fp").alias("root")))
     smallest = linked.groupBy("root").agg(F.min("doc").alias("component_id"))
     return linked.join(smallest, "root").select("fp", "root", "component_id")
 

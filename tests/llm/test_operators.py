@@ -10,12 +10,14 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from conftest import final_plan
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanledger.llm import decontam, exact_dedup, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
+from spanledger.llm import components, decontam, exact_dedup, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
 from spanledger.llm.queries import URL_RULES, tokenizer_path
 from spanledger.llm.shipping import ship
+from spanledger.sources.scratch import durable
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _kept_id string, _lowered string, _scored string, cell int, row int, size int, fp int"
@@ -168,6 +170,17 @@ def test_every_pair_within_three_bits_shares_a_key():
     assert len({row for row, _ in a & b}) == len(x)
 
 
+def test_simhash_broadcasts_nothing_that_grows(spark, docs):
+    """The files of stored tables are far below the broadcast limit, whatever is made of their rows."""
+    ship(spark)
+    stored = durable(spark.range(2000).select(F.xxhash64(F.col("id") % 1900).alias("fp")), "fps")
+    hub = durable(spark.range(500).select((F.col("id") + 1).alias("u"), F.lit(0).cast("long").alias("v")), "hub")
+    found = [simhash.similar_links(stored), components._star(hub, False), components._star(hub, True)]
+    assert ["BroadcastExchange" in final_plan(x) for x in found] == [False] * 3
+    assert "BroadcastHashJoin [fp#" not in final_plan(simhash.near_duplicates(docs))
+    assert sorted(tuple(r) for r in components.connected_components(hub).collect()) == [(i, 0) for i in range(1, 501)]
+
+
 def test_simhash_odd(odd, none):
     got = sorted(tuple(r)[::2] for r in simhash.near_duplicates(odd).collect() if r[0] is not None)
     assert got == [(2, 2), (4, 4), (4, 4), (9, 2)]
