@@ -269,7 +269,7 @@ def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, distance: int = MAX_DI
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _digest().alias("digest"))
     rows = durable(rows.mapInArrow(lambda b: _fingerprints(b, width, seed, ("digest",)), "doc_id long, fp long, digest binary"), "fingerprints")
     columns, digest, kept_id, kept_digest = docs.columns, *(free_name(docs, c) for c in ("_digest", "_kept_id", "_kept_digest"))
-    first = rows.join(_components(rows, distance), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = rows.join(_components(rows, distance).hint("merge"), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = (first.groupBy("root", "doc_id", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("own")).agg(F.min("digest").alias(kept_digest))
             .select(F.col("doc_id").alias(kept_id), kept_digest))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(digest) == F.col(kept_digest))

@@ -204,6 +204,13 @@ def test_reused_and_null_ids_bring_back_no_copy(spark, keep):
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (5, b), (None, c), (3, d), (8, e), (8, e)])
 
 
+def test_keeping_one_broadcasts_no_stored_rows(spark, docs):
+    """Repeated rows make a file of a few bytes each; their number does not count towards the broadcast limit."""
+    kept = simhash.keep_one(docs)
+    assert "BroadcastHashJoin [fp#" not in final_plan(kept)
+    assert {r[0] for r in kept.select("doc_id").collect()} == {r[2] for r in simhash.near_duplicates(docs).collect()}
+
+
 def test_one_text_of_a_reused_id_stays_in_a_component(spark):
     ship(spark)
     rows = [(4, "Same words here"), (4, "same  words HERE"), (7, "same words here")]
